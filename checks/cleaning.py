@@ -11,7 +11,7 @@ from checks.sql import clean_sql, derived_sql
 from netsieve import fixed_values as V
 from netsieve.functions import extraction, parsing, render, rules
 from netsieve.operators import dedup, filters, profile
-from netsieve.plans.clean import CleanOptions, clean, parse_table, rejected
+from netsieve.plans.clean import CleanOptions, clean, parse_table, parsed_rows, rejected
 from netsieve.sources import derived, writers
 
 OPTIONS = CleanOptions(ref_year=derived.REF_YEAR)
@@ -26,11 +26,11 @@ def parsed_all(spark, sf):
 
 
 def parsed(spark, sf):
-    return parsed_all(spark, sf).where(parsing.is_parsed())
+    return parsed_rows(lines(spark, sf), OPTIONS).withColumnRenamed("line_seq", "line_no")
 
 
 def survivors(spark, sf):
-    rows = parse_table(lines(spark, sf), OPTIONS).where(parsing.is_parsed())
+    rows = parsed_rows(lines(spark, sf), OPTIONS)
     return dedup.keep_first(rows).withColumnRenamed("line_seq", "line_no")
 
 
@@ -184,7 +184,7 @@ def b4_formats(spark, sf):
 
 @check("b4_rejected_lines", clean_sql("select line_no, line from formatted where format = 'invalid'", "formatted"))
 def b4_rejects(spark, sf):
-    return rejected(lines(spark, sf), OPTIONS).select(F.col("line_seq").alias("line_no"), "line")
+    return rejected(lines(spark, sf)).select(F.col("line_seq").alias("line_no"), "line")
 
 
 def _column_check(name, columns, sql_columns=None, stage="parsed"):
@@ -252,7 +252,7 @@ from parsed""",
     ),
 )
 def c2(spark, sf):
-    rows = parse_table(lines(spark, sf), OPTIONS).where(parsing.is_parsed())
+    rows = parsed_rows(lines(spark, sf), OPTIONS)
     return profile.duplicates_by_file(rows)
 
 

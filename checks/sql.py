@@ -118,7 +118,7 @@ GOOD = r"^(?:(?:0|[1-9]\d?|1\d\d|2[0-4]\d|25[0-5])\.){3}(?:0|[1-9]\d?|1\d\d|2[0-
 
 MATCHED = f"""
 select *, list_sort(list_distinct(list_filter(regexp_extract_all(message, '{IPRE}', 0),
-    ip -> contains(ip, ':') or regexp_matches(ip, '{GOOD}')))) as ips,
+    lambda ip: contains(ip, ':') or regexp_matches(ip, '{GOOD}')))) as ips,
   try_cast(regexp_extract(message, '(?:port|:)\\s*(\\d{{1,5}})', 1) as integer) as port_number,
   nullif(regexp_extract(message, '(?i)peer\\s+([0-9.]+)', 1), '') as peer,
   nullif(regexp_extract(message, '(?i)bgp.*neighbor\\s+([0-9.]+)', 1), '') as neighbor

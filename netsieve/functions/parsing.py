@@ -188,8 +188,18 @@ def record_id(*parts: Column) -> Column:
 
 
 def is_parsed() -> Column:
+    """Test on parsed rows. To drop rejects use :func:`parseable` before parsing instead."""
     return F.col("format").isin("rfc5424", "rfc3164", "fallback")
 
 
+def parseable(line: Column) -> Column:
+    """Will the line get one of the three layouts? The loosest one needs only its ``<digits>``.
+
+    A filter on ``format`` would be pushed below the projections that compute it and
+    run every pattern twice; this one is cheap and stays on the raw line.
+    """
+    return trimmed(line).rlike(r"^<\d+>")
+
+
 def valid_ipv4(text: Column) -> Column:
     return text.rlike(V.IPV4_VALID)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from netsieve import schema
 from netsieve.functions.extraction import EXTRACTION_GROUPS, extract_fields
-from netsieve.functions.parsing import is_parsed, parse_lines, record_id
+from netsieve.functions.parsing import parse_lines, parseable, record_id
 from netsieve.functions.rules import classify_messages, risk_score
 from netsieve.operators.dedup import keep_first
 from netsieve.operators.filters import Criteria
@@ -48,9 +48,14 @@ def parse_table(lines: DataFrame, options: CleanOptions | None = None) -> DataFr
     return parse_lines(lines, options.ref_year)
 
 
-def rejected(lines: DataFrame, options: CleanOptions | None = None) -> DataFrame:
+def parsed_rows(lines: DataFrame, options: CleanOptions | None = None) -> DataFrame:
+    """Parsed fields of the lines that have a layout; rejects never reach the parser."""
+    return parse_table(lines.where(parseable(F.col("line"))), options)
+
+
+def rejected(lines: DataFrame) -> DataFrame:
     """Lines that could not be parsed, with their place."""
-    return parse_table(lines, options).where(F.col("format") == "invalid").select(*POSITION, "line")
+    return lines.where((F.length("line") > 0) & ~parseable(F.col("line"))).select(*POSITION, "line")
 
 
 def clean(lines: DataFrame, options: CleanOptions | None = None) -> DataFrame:
@@ -60,7 +65,7 @@ def clean(lines: DataFrame, options: CleanOptions | None = None) -> DataFrame:
     addresses of the message.
     """
     options = options or CleanOptions()
-    rows = parse_table(lines, options).where(is_parsed())
+    rows = parsed_rows(lines, options)
     if options.remove_duplicates:
         rows = keep_first(rows)
     rows = rows.withColumn(
