@@ -151,30 +151,37 @@ def a14(spark, sf):
 
 # --- B: parse and validate ---------------------------------------------------
 
-_FIELD_SQL = "select line_no, pri, time_text, host, program, pid_text, message from fields where format = '{}'"
+# every parsed line comes back; lines of another layout carry nulls
 
+_FIELDS = ["pri", "time_text", "host", "program", "pid_text", "message"]
 
-def _fields(spark, sf, fmt):
-    rows = parsing.split_lines(lines(spark, sf)).where(F.col("format") == fmt)
-    return rows.select(
-        F.col("line_seq").alias("line_no"), F.col("_pri").alias("pri"), F.col("_time").alias("time_text"),
-        F.col("_host").alias("host"), "program", F.col("_pid").alias("pid_text"), "message",
+
+def _layout_sql(fmt):
+    columns = ", ".join(f"case when format = '{fmt}' then {c} end as {c}" for c in _FIELDS)
+    return clean_sql(f"select line_no, format, {columns} from fields", "fields")
+
+
+def _layout(spark, sf, fmt):
+    valid = lines(spark, sf).where(parsing.parseable(F.col("line")))
+    rows = parsing.split_lines(valid).withColumnsRenamed(
+        {"line_seq": "line_no", "_pri": "pri", "_time": "time_text", "_host": "host", "_pid": "pid_text"}
     )
+    return rows.select("line_no", "format", *[F.when(F.col("format") == fmt, F.col(c)).alias(c) for c in _FIELDS])
 
 
-@check("b1_rfc5424_match", clean_sql(_FIELD_SQL.format("rfc5424"), "fields"))
+@check("b1_rfc5424_match", _layout_sql("rfc5424"))
 def b1(spark, sf):
-    return _fields(spark, sf, "rfc5424")
+    return _layout(spark, sf, "rfc5424")
 
 
-@check("b2_rfc3164_match", clean_sql(_FIELD_SQL.format("rfc3164"), "fields"))
+@check("b2_rfc3164_match", _layout_sql("rfc3164"))
 def b2(spark, sf):
-    return _fields(spark, sf, "rfc3164")
+    return _layout(spark, sf, "rfc3164")
 
 
-@check("b3_fallback_match", clean_sql(_FIELD_SQL.format("fallback"), "fields"))
+@check("b3_fallback_match", _layout_sql("fallback"))
 def b3(spark, sf):
-    return _fields(spark, sf, "fallback")
+    return _layout(spark, sf, "fallback")
 
 
 @check("b4_line_formats", clean_sql("select format, count(*) as n from formatted group by format", "formatted"))
@@ -200,14 +207,15 @@ _column_check("b9_hostname", ["hostname"])
 _column_check("b10_pid", ["pid"])
 
 
-@check("b6_rfc3164_time", clean_sql("select line_no, epoch_us(ts) as micros from parsed where format = 'rfc3164'", "parsed"))
-def b6(spark, sf):
-    return parsed(spark, sf).where("format = 'rfc3164'").select("line_no", F.unix_micros("timestamp").alias("micros"))
+def _time_check(name, fmt):
+    @check(name, clean_sql(f"select line_no, case when format = '{fmt}' then epoch_us(ts) end as micros from parsed", "parsed"))
+    def run(spark, sf):
+        micros = F.when(F.col("format") == fmt, F.unix_micros("timestamp"))
+        return parsed(spark, sf).select("line_no", micros.alias("micros"))
 
 
-@check("b7_rfc5424_time", clean_sql("select line_no, epoch_us(ts) as micros from parsed where format = 'rfc5424'", "parsed"))
-def b7(spark, sf):
-    return parsed(spark, sf).where("format = 'rfc5424'").select("line_no", F.unix_micros("timestamp").alias("micros"))
+_time_check("b6_rfc3164_time", "rfc3164")
+_time_check("b7_rfc5424_time", "rfc5424")
 
 
 @check("b11_quality_issues", clean_sql("select line_no, issues from parsed", "parsed"))
@@ -275,7 +283,8 @@ CONTENT_CLASS_SQL = """case when regexp_matches(lower(message), 'login|authentic
 
 @check("d6_content_class", clean_sql(f"select line_no, {CONTENT_CLASS_SQL} as content_class from parsed", "parsed"))
 def d6(spark, sf):
-    return parsed(spark, sf).select("line_no", rules.content_class(F.lower("message")).alias("content_class"))
+    rows = parsed(spark, sf).withColumn("low", F.lower("message"))
+    return rows.select("line_no", rules.content_class("low").alias("content_class"))
 
 
 # --- E: extraction ---------------------------------------------------------------

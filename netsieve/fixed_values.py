@@ -133,6 +133,9 @@ INTERFACE_AFTER_ON = r"(?i)on\s+([a-zA-Z0-9\/\.-]+)"
 INTERFACE_PREFIX = (
     r"(?i)(GigabitEthernet|TenGigabitEthernet|FastEthernet|Serial|Loopback|Tunnel|Vlan|ethernet|ge-|xe-|et-)\S*"
 )
+INTERFACE_PREFIX_WORDS = ["ethernet", "serial", "loopback", "tunnel", "vlan", "ge-", "xe-", "et-"]
+# an address with an octet like 07, in a comma-joined list
+LEADING_ZERO_IP = r"(?<![^,])(?:\d+\.)*0\d+(?:\.\d+)*(?![^,])"
 THREAT_AFTER_THREAT = r"(?i)threat[^:]*:\s*([^,\s]+)"
 THREAT_AFTER_MALWARE = r"(?i)malware[^:]*:\s*([^,\s]+)"
 THREAT_AFTER_SIGNATURE = r"(?i)signature[^:]*:\s*([^,\s]+)"

@@ -35,32 +35,32 @@ def _groups(text: Column, pattern: str, wanted: list[int]) -> Column:
     return F.split(F.regexp_replace(text, "(?d)" + pattern, joined), "\n")
 
 
-def _three_months_days(position: Column) -> Column:
-    days = [31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
-    return F.element_at(F.array(*[F.lit(d) for d in days]), position.cast("int"))
-
-
-def rfc3164_timestamp(text: Column, ref_year: int) -> Column:
-    """``Mon d h:m:s`` in the given year, UTC; 29 February rolls over in a short year."""
-    piece = F.split(text, r"[ :]+")
-    month = F.array_position(F.array(*[F.lit(m) for m in V.MONTHS]), F.lower(piece[0]))
-    day = piece[1].try_cast("int")
-    hour = piece[2].try_cast("int")
-    minute = piece[3].try_cast("int")
-    second = piece[4].try_cast("int")
-    well_formed = text.rlike(r"^[A-Za-z]{3} +\d{1,2} +\d{1,2}:\d{2}:\d{2}$")
-    in_range = (
-        (month > 0)
-        & day.between(1, _three_months_days(F.greatest(month, F.lit(1))))
-        & (hour < 24)
-        & (minute < 60)
-        & (second < 60)
+MONTH_DAYS = [31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+
+
+def rfc3164_timestamp(df: DataFrame, text: str, ref_year: int, out: str) -> DataFrame:
+    """Add ``Mon d h:m:s`` of the given year as a UTC time.
+
+    29 February rolls over to 1 March in a short year. Plain arithmetic over the
+    split parts, each computed once in its own projection.
+    """
+    shape = r"^[A-Za-z]{3} +\d{1,2} +\d{1,2}:\d{2}:\d{2}$"
+    months = ", ".join(f"'{m}'" for m in V.MONTHS)
+    days = ", ".join(str(d) for d in MONTH_DAYS)
+    df = df.withColumn("_t", F.when(F.col(text).rlike(shape), F.split(text, r"[ :]+")))
+    df = df.withColumns(
+        {
+            "_mon": F.expr(f"cast(array_position(array({months}), lower(_t[0])) as int)"),
+            "_day": F.expr("cast(_t[1] as int)"),
+            "_secs": F.expr("cast(_t[2] as int) * 3600L + cast(_t[3] as int) * 60 + cast(_t[4] as int)"),
+            "_ok": F.expr("_t[2] < '24' and _t[3] < '60' and _t[4] < '60' or length(_t[2]) = 1 and _t[3] < '60' and _t[4] < '60'"),
+        }
     )
-    first = F.make_date(F.lit(ref_year), month.cast("int"), F.lit(1))
-    seconds = (
-        (F.unix_date(first).cast("long") + day - 1) * 86400 + hour * 3600 + minute * 60 + second
+    good = F.expr(f"_ok and _mon > 0 and _day between 1 and element_at(array({days}), greatest(_mon, 1))")
+    value = F.expr(
+        f"timestamp_seconds((unix_date(make_date({int(ref_year)}, _mon, 1)) + _day - 1) * 86400L + _secs)"
     )
-    return F.when(well_formed, F.when(in_range, F.timestamp_seconds(seconds)))
+    return df.withColumn(out, F.when(good, value)).drop("_t", "_mon", "_day", "_secs", "_ok")
 
 
 def rfc5424_timestamp(text: Column) -> Column:
@@ -147,11 +147,10 @@ def parse_lines(df: DataFrame, ref_year: int | None = None, line_col: str = "lin
             .cast("int"),
         ),
     )
+    df = rfc3164_timestamp(df, "_time", ref_year, "_time3")
     df = df.withColumn(
         "timestamp",
-        F.when(fmt == "rfc5424", rfc5424_timestamp(F.col("_time"))).when(
-            fmt == "rfc3164", rfc3164_timestamp(F.col("_time"), ref_year)
-        ),
+        F.when(fmt == "rfc5424", rfc5424_timestamp(F.col("_time"))).when(fmt == "rfc3164", F.col("_time3")),
     )
     host = F.col("_host")
     no_host = host.isin("", "-")
@@ -179,7 +178,7 @@ def parse_lines(df: DataFrame, ref_year: int | None = None, line_col: str = "lin
         }
     )
     name = F.when(number.isNotNull(), severity_name(F.col("severity")))
-    return df.withColumn("severity_name", name).drop("_pri", "_time", "_host", "_pid", "_number")
+    return df.withColumn("severity_name", name).drop("_pri", "_time", "_time3", "_host", "_pid", "_number")
 
 
 def record_id(*parts: Column) -> Column:

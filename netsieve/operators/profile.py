@@ -129,8 +129,8 @@ def raw_statistics(parsed: DataFrame, k: int = 10) -> DataFrame:
 
     There are ten classes and eight severities, so the limit only cuts programs.
     """
-    rows = parsed.select(
-        content_class(F.lower("message")).alias("content_class"), "severity", "program"
+    rows = parsed.withColumn("_low", F.lower("message")).select(
+        content_class("_low").alias("content_class"), "severity", "program"
     )
     counts = distribution(rows, ["content_class", "severity", "program"])
     rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "name"))
