@@ -11,7 +11,7 @@ import importlib
 
 QUERIES: dict = {}
 SQL: dict = {}
-_MODULES = ("cleaning",)
+_MODULES = ("cleaning", "profiling")
 
 
 def check(name: str, sql: str | None = None):

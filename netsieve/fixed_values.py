@@ -217,6 +217,8 @@ CLASSIFIER_BOOLEAN = ["is_security", "is_authentication", "is_network_event", "i
 CLASSIFIER_CATEGORICAL = ["device_type", "program", "severity_name", "protocol"]
 
 # --- text mining (fixed values) ---
+SYMBOLS = r"[^\p{L}\p{N}_\s\-/:]"
+JOINED_FORMS = r"\b(?:(can(?=not)|gim(?=me)|gon(?=na)|got(?=ta)|lem(?=me)|wan(?=na)))(not|me|na|ta)\b"
 NETWORK_STOP_WORDS = [
     "interface", "config", "system", "device", "network",
     "connection", "status", "message", "log", "entry",
