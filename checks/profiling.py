@@ -318,13 +318,13 @@ def p5(spark, sf):
     "p6_derived_columns",
     derived_sql(
         "flows",
-        "select src_ip as source, dst_ip as destination, bytes, packets, round(bytes / packets, 6) as mean_packet from flows",
+        "select src_ip as source, dst_ip as destination, bytes, packets, bytes / packets as mean_packet from flows",
     ),
 )
 def p6(spark, sf):
     return derived.flows(spark, sf).select(
         F.col("src_ip").alias("source"), F.col("dst_ip").alias("destination"), "bytes", "packets",
-        F.round(F.col("bytes") / F.col("packets"), 6).alias("mean_packet"),
+        (F.col("bytes") / F.col("packets")).alias("mean_packet"),
     )
 
 
