@@ -113,6 +113,12 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql_text(name, SPARK_TIME).replace(f"from {base}", f"from {{{base}}}"), **{base: table})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that sits in fewer files than there are cores."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines with their place: the line number is the order key of one file."""
     return derive(spark, sf_dir, "log_lines").select(
