@@ -11,7 +11,7 @@ import importlib
 
 QUERIES: dict = {}
 SQL: dict = {}
-_MODULES = ("cleaning", "profiling", "features")
+_MODULES = ("cleaning", "profiling", "features", "models")
 
 
 def check(name: str, sql: str | None = None):
