@@ -41,7 +41,8 @@ def scratch(spark):
 
 
 def classifier_rows(spark, sf, exclude_rule_flags=False):
-    rows = derived.spread(cleaned(spark, sf))
+    # fitting reads the records several times: clean them once
+    rows = derived.spread(cleaned(spark, sf)).persist()
     return plans.classifier_vectors(rows, ["line_no", "event_category"], exclude_rule_flags).persist()
 
 

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from netsieve import fixed_values as V
 from netsieve.functions.stemming import stem
@@ -38,12 +39,12 @@ def keep_words(words: Column, general=V.GENERAL_STOP_WORDS, network=V.NETWORK_ST
     return F.filter(words, lambda w: (F.length(w) > 2) & ~w.isin(stop))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def stemmed_text(words: pd.Series) -> pd.Series:
     return words.map(lambda ws: " ".join(stem(w) for w in ws))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_accents(text: pd.Series) -> pd.Series:
     def plain(s):
         if s is None or s.isascii():

@@ -34,16 +34,16 @@ def draw_samples(df: DataFrame, features: str, trees: int, sample: int, seed: in
     """``(tree, values)`` with ``sample`` random rows per tree (all rows if there are fewer).
 
     The draw is by random number, not by row content, so equal rows are no more likely
-    to be drawn together. Three times the need is drawn and then cut to size.
+    to be drawn together. Up to three times the need is drawn and then cut to size.
     """
     n = df.count()
     rate = min(1.0, 3.0 * sample / n) if n else 1.0
     rows = df.select(vector_to_array(features).alias("values"))
-    if rate * trees <= 1.0:
+    if n >= 2 * trees * sample:
         drawn = rows.withColumn("_r", F.rand(seed)).where(F.col("_r") < rate * trees)
         drawn = drawn.withColumn("tree", F.floor(F.rand(seed + 1) * trees).cast("int"))
     else:
-        # fewer rows than a few samples per tree: a row may serve several trees
+        # too few rows for separate samples: a row may serve several trees
         drawn = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         drawn = drawn.withColumn("_r", F.rand(seed)).where(F.col("_r") < rate)
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("_r"))

@@ -7,6 +7,7 @@ totals of the ranges before it; only one row per range meets in one place.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,16 +68,21 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
     per round, and at the end at most ``SMALL`` distinct values.
     """
     rows = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    total = rows.count()
-    if total == 0:
-        return None
-    position = p * (total - 1)
-    rank = int(position)
-    low = _value_at(rows, total, rank)
-    if position == rank:
-        return low
-    high = _value_at(rows, total, rank + 1)
-    return low + (high - low) * (position - rank)
+    # one narrow column, read a few times: spills to disk rather than run its source again
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = rows.count()
+        if total == 0:
+            return None
+        position = p * (total - 1)
+        rank = int(position)
+        low = _value_at(rows, total, rank)
+        if position == rank:
+            return low
+        high = _value_at(rows, total, rank + 1)
+        return low + (high - low) * (position - rank)
+    finally:
+        rows.unpersist()
 
 
 def _value_at(rows: DataFrame, total: int, rank: int) -> float:
@@ -88,10 +94,12 @@ def _value_at(rows: DataFrame, total: int, rank: int) -> float:
         below, inside = rows.agg(
             F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))
         ).first()
-        if low == high or inside == total:
-            break
         if not below <= rank < below + inside:
             raise AssertionError("quantile bracket missed its rank")
+        if low == high:
+            return low
+        if inside == total:
+            break
         rows, total, rank = rows.where(F.col("v").between(low, high)), inside, rank - below
     return _value_in_small(rows, rank)
 

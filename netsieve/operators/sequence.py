@@ -48,7 +48,7 @@ def _ranged(df, key, order, value, length, out, buckets):
     tails = rows.withColumn("_r", F.row_number().over(latest)).where(F.col("_r") <= length).drop("_r")
     # what precedes the first tail row of a range stems from earlier ranges only: a key
     # has at most `length` tail rows per range, so this window stays small
-    item = F.struct(*[F.col(c) for c in order], F.col(value))
+    item = F.struct(*dict.fromkeys([*order, value]))
     along = Window.partitionBy(*keys).orderBy(*order)
     first = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     carried = (

@@ -57,7 +57,10 @@ def fit_classifier_vectors(df: DataFrame, exclude_rule_flags: bool = False) -> P
 
 
 def classifier_vectors(df: DataFrame, keep: list[str], exclude_rule_flags: bool = False) -> DataFrame:
-    """``keep`` columns and the classifier's feature vector of cleaned records."""
+    """``keep`` columns and the classifier's feature vector of cleaned records.
+
+    Fitting reads ``df`` several times: pass a stored or persisted table.
+    """
     model = fit_classifier_vectors(df, exclude_rule_flags)
     rows, _, _ = classifier_columns(df, exclude_rule_flags)
     return model.transform(rows).select(*keep, "features")
