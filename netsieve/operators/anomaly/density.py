@@ -64,11 +64,10 @@ def density_noise(
     core = points.where("core").unionByName(thin.where("core"))
     border = neighbour_weights(thin.where(~F.col("core")), core, width, eps, block)
     noise = thin.where(~F.col("core")).select("id").join(border, "id", "left_anti")
+    noise = noise.select(F.col("id").alias("_point"), F.lit(1).alias(out))
     # noise points have fewer than min_points copies, the hot ids are all on the left
-    flagged = join_spread(
-        df.withColumn("id", _point_id(vector_to_array(features))), noise.withColumn(out, F.lit(1)), ["id"]
-    )
-    return flagged.withColumn(out, F.coalesce(out, F.lit(0))).drop("id")
+    flagged = join_spread(df.withColumn("_point", _point_id(vector_to_array(features))), noise, ["_point"])
+    return flagged.withColumn(out, F.coalesce(out, F.lit(0))).drop("_point")
 
 
 def _step(axis: int, eps: float):

@@ -87,8 +87,10 @@ def _bin_sums(df: DataFrame, features: str, proj, phase, weights, edges) -> tupl
             if len(pdf):
                 z = _map_rows(np.stack(pdf["values"].to_numpy()), proj, phase)
                 where = np.searchsorted(edges, z @ weights)
-                counts += np.bincount(where, minlength=len(counts))
-                np.add.at(sums, where, z)
+                order = np.argsort(where, kind="stable")
+                bins, starts, n = np.unique(where[order], return_index=True, return_counts=True)
+                counts[bins] += n
+                sums[bins] += np.add.reduceat(z[order], starts, axis=0)
         used = np.flatnonzero(counts)
         yield pd.DataFrame({"bin": used, "n": counts[used], "total": list(sums[used])})
 
