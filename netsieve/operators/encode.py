@@ -114,7 +114,7 @@ def stratified_split(
     A label may hold most rows, so no window runs over a whole label: the leading
     hex digits cut each label into even buckets, buckets below the cut are test rows
     as a whole and rows are ranked only inside their bucket. ``key`` must tell
-    rows apart.
+    rows apart; drop rows without a label first.
     """
     text = F.concat_ws(":", *[F.col(c).cast("string") for c in key], F.lit(str(seed)))
     rows = df.withColumn("_hash", F.md5(text))

@@ -219,20 +219,20 @@ def hourly_extremes(df: DataFrame, ts: str = "ts") -> DataFrame:
 def insight_report(df: DataFrame, level: str = "level", ts: str = "ts", top_categories: int = 5) -> DataFrame:
     """``(section, name, n, percent)``: period, totals, shares and the critical breakdown.
 
-    One cube-like scan: every section is a row of the same unpivoted count, so the
-    input is read once for counts and once for the period and distinct devices.
+    Every section is a row of the same unpivoted count: the input is read once for
+    counts and once for the period and distinct devices.
     """
     critical = F.when(F.col(level) == "CRITICAL", F.col("category"))
     base = df.select(F.col(level).alias("severity"), "category", critical.alias("critical"))
     counts = base.unpivot([], ["severity", "category", "critical"], "section", "name")
-    counts = counts.where("name is not null").groupBy("section", "name").agg(_count())
-    # severity has no nulls in this table, so its total is the row count
-    rows = F.max(F.when(F.col("section") == "severity", F.col("_all"))).over(Window.partitionBy())
-    counts = counts.withColumn("_all", F.sum("n").over(Window.partitionBy("section")))
+    counts = counts.groupBy("section", "name").agg(_count())
+    # every input row counts once per section, missing names included: the sum is the row count
+    counts = counts.withColumn("_all", F.sum("n").over(Window.partitionBy("section"))).where("name is not null")
     rank = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("n"), "name"))
+    share = F.when(F.col("section") != "critical", _percent(F.col("n"), F.col("_all"), 1))
     shares = (
         counts.withColumn("_rank", rank)
-        .withColumn("percent", F.when(F.col("section") != "critical", _percent(F.col("n"), rows, 1)))
+        .withColumn("percent", share)
         .where((F.col("section") != "category") | (F.col("_rank") <= top_categories))
         .select("section", "name", "n", "percent")
     )

@@ -90,8 +90,13 @@ def report_text(report: DataFrame) -> DataFrame:
 
 
 def write_report(report: DataFrame, folder: str, mode: str = "error") -> None:
-    report.coalesce(1).write.mode(mode).json(f"{folder}/cleaning_report")
-    report_text(report).coalesce(1).write.mode(mode).text(f"{folder}/cleaning_summary")
+    # a few dozen rows, written twice
+    report = report.coalesce(1).persist()
+    try:
+        report.write.mode(mode).json(f"{folder}/cleaning_report")
+        report_text(report).coalesce(1).write.mode(mode).text(f"{folder}/cleaning_summary")
+    finally:
+        report.unpersist()
 
 
 def anomaly_results(source: DataFrame, models: list[str]) -> DataFrame:

@@ -11,8 +11,8 @@ from netsieve.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = build_session(
-        "netsieve-tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
-        spark__driver__memory="4g", spark__ui__showConsoleProgress="false",
+        "netsieve-tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        spark__driver__memory="8g", spark__ui__showConsoleProgress="false",
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

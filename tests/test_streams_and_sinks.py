@@ -139,8 +139,10 @@ def test_train_and_compare(spark):
         F.col("id"), F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").otherwise("c").alias("label"),
         array_to_vector(F.array((F.col("id") % 3).cast("double"), F.rand(1))).alias("features"),
     )
-    names = classify.estimators(trees=5, rounds=2, iterations=20)
-    fitted, test = classify.train_and_compare(rows, "label", ["id"], names, folds=2)
+    names = classify.estimators(trees=5, rounds=1, iterations=10)
+    fitted, test = classify.train_and_compare(rows, "label", ["id"], names, folds=1)
     assert {m.name for m in fitted} == set(names) and fitted[0].accuracy == 1.0
+    folded, _ = classify.train_and_compare(rows, "label", ["id"], {"Naive Bayes": names["Naive Bayes"]}, folds=3)
+    assert 0.0 <= folded[0].cv_mean <= 1.0
     assert [m.accuracy for m in fitted] == sorted((m.accuracy for m in fitted), reverse=True)
     assert test.count() == 60
