@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsieve.llm import chat, decontaminate, language, line_dedup, near_dedup, neighbours, packing, resampling, url_rules, warc
+from netsieve.llm import chat, decontaminate, language, line_dedup, near_dedup, neighbours, packing, resampling, sql, url_rules, warc
 from netsieve.llm.store import new_folder, stored
 
 
@@ -90,8 +90,12 @@ def queries() -> dict:
     return {f.__name__: f for f in named}
 
 
-SQL: dict[str, str] = {}
-
-
 def oracle_sql() -> dict:
-    return dict(SQL)
+    return {
+        "op3_warc_bundles": sql.OP3,
+        "op4_line_dedup": sql.OP4,
+        "op7_minhash_forest": sql.OP7,
+        "op8_url_rules": sql.OP8,
+        "op9_decontamination": sql.OP9,
+        "op10_nearest_vectors": sql.OP10,
+    }
