@@ -19,6 +19,7 @@ from netsieve.llm.store import stored
 LEAST = 1000  # bytes of a payload from which equal ones are written once
 FRAME_BYTES = 256_000  # of records in a frame; a larger record has a frame of its own
 BUNDLE_BYTES = 64_000_000  # of compressed frames in a file
+TASK_BYTES = 32_000_000  # of unpacked frames that a reading task gets
 # Fixed values of the Zstandard seekable format: a skippable frame with a table and a footer.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DATE = "2024-01-01T00:00:00Z"
@@ -62,7 +63,9 @@ def read_bundles(spark: SparkSession, index: DataFrame) -> DataFrame:
     against its digest; a revisit has none and tells the digest and the length of the
     payload it stands for.
     """
+    total = index.agg(F.sum("length")).first()[0] or 0
     frames = index.groupBy("bundle", "frame").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("places"))
+    frames = frames.repartition(-(-total // TASK_BYTES) or 1, "bundle", "frame")  # the index says little of the bytes behind it
     columns = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
     return frames.sortWithinPartitions("bundle", "frame").mapInArrow(_read_frames, columns)
 
