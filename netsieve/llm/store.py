@@ -63,7 +63,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.T
 
 
 def _same(a, i, b, j, keys) -> bool:
-    return all(a.column(k)[i] == b.column(k)[j] for k in (a.schema.get_field_index(x) for x in keys))
+    return all(a.column(k)[i].as_py() == b.column(k)[j].as_py() for k in (a.schema.get_field_index(x) for x in keys))
 
 
 def _last_group(batch: pa.RecordBatch, keys) -> int:
@@ -72,6 +72,6 @@ def _last_group(batch: pa.RecordBatch, keys) -> int:
     equal = None
     for key in keys:
         column = batch.column(batch.schema.get_field_index(key))
-        one = pc.fill_null(pc.equal(column, column[last]), not column[last].is_valid)
+        one = pc.fill_null(pc.equal(column, column[last]), False) if column[last].is_valid else column.is_null()
         equal = one if equal is None else pc.and_(equal, one)
     return pc.index(equal, True).as_py()
