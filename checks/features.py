@@ -391,6 +391,16 @@ def k2(spark, sf):
     return df.select("event_id", *encode.one_hot_columns("event_type", "event", values))
 
 
+@check(
+    "k2_one_hot_sparse",
+    derived_sql("device_logs", "select event_id, cast(dense_rank() over (order by message) - 1 as varchar) as cells from device_logs"),
+)
+def k2_sparse(spark, sf):
+    df = logs(spark, sf)
+    out = encode.one_hot_sparse(df, "message", encode.code_table(df, "message"), "cells")
+    return out.select("event_id", F.concat_ws(",", F.col("cells").cast("array<string>")).alias("cells"))
+
+
 @check(
     "k3_unseen_category",
     derived_sql("security_events", "select event_id, " + ", ".join(f"cast(event_type = '{t}' as integer) as event_{t}" for t in _TYPES if t != "port_scan") + " from security_events"),

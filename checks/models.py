@@ -369,11 +369,22 @@ where len(seq) = 10""",
 )
 def n1(spark, sf):
     df = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", "ts")
-    # user ids stand for keys of any size: the low limit makes the ranged plan run
-    out = sequence.previous_rows(df, "user_id", ["ts", "event_id"], "event_id", 10, rows_per_key=50)
+    out = sequence.previous_rows(df, "user_id", ["ts", "event_id"], "event_id", 10)
     return out.select("event_id", F.concat_ws(",", F.transform("sequence", lambda x: x.cast("string"))).alias("previous"))
 
 
+@check(
+    "n1_previous_nulls",
+    """select event_id, array_to_string(list_transform(seq, lambda x: coalesce(cast(x as varchar), '-')), ',') as previous from (
+  select event_id, list(case when event_id % 3 > 0 then event_id end) over (partition by user_id order by ts, event_id rows between 10 preceding and 1 preceding) as seq from events)
+where len(seq) = 10""",
+)
+def n1_nulls(spark, sf):
+    df = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", "ts", F.expr("if(event_id % 3 > 0, event_id, null)").alias("v"))
+    out = sequence.previous_rows(df, "user_id", ["ts", "event_id"], "v", 10)
+    return out.select("event_id", F.concat_ws(",", F.transform("sequence", lambda x: F.coalesce(x.cast("string"), F.lit("-")))).alias("previous"))
+
+
 @check(
     "n1_global_previous_rows",
     """select event_id, array_to_string(list_transform(seq, lambda x: cast(x as varchar)), ',') as previous from (
@@ -492,10 +503,12 @@ def o5(spark, sf):
     return rows[0].unionByName(rows[1]).groupBy("run", "is_anomaly", "confidence").agg(F.count("*").alias("n"))
 
 
-def _stream_lines(spark, sf):
+def _stream_lines(spark, sf, files=None):
+    """The lines as a stream, from ``files`` files with a trigger each."""
     folder = scratch(spark)
-    lines(spark, sf).select("line").write.text(f"{folder}/in")
-    return folder, readers.stream_log_dir(spark, f"{folder}/in", "*.txt")
+    rows = lines(spark, sf).select("line")
+    (rows.repartition(files) if files else rows).write.text(f"{folder}/in")
+    return folder, readers.stream_log_dir(spark, f"{folder}/in", "*.txt", max_files=1 if files else None)
 
 
 def _run(stream, folder):
@@ -520,9 +533,9 @@ def o6(spark, sf):
 
 @check("c3_stream_dedup", clean_sql("select count(*) as n, count(distinct message) as messages from survivors", "survivors"))
 def c3(spark, sf):
-    folder, stream = _stream_lines(spark, sf)
-    # a watermark longer than the data: the stream then keeps what the batch keeps
-    out = _run(cleaning.clean_stream(stream, OPTIONS, dedup_watermark="3650 days"), folder)
+    folder, stream = _stream_lines(spark, sf, files=3)
+    # all lines arrive within a day, whatever times they carry: the stream keeps what the batch keeps
+    out = _run(cleaning.clean_stream(stream, OPTIONS, dedup_watermark="1 day"), folder)
     return out.agg(F.count("*").alias("n"), F.count_distinct("message").alias("messages"))
 
 

@@ -111,12 +111,12 @@ for _col in ("hostname", "source_ip", "threat_name"):
     clean_sql(
         f"""select kind, name, n, percent from (
   select *, row_number() over (partition by kind order by n desc, name) as rk from ({_dist_sql(["content_class", "severity", "program"], "raw")})
-) where rk <= 10""".replace("from raw", f"from (select *, {CONTENT_CLASS_SQL} as content_class from parsed)"),
+) where rk <= 3 or kind <> 'program'""".replace("from raw", f"from (select *, {CONTENT_CLASS_SQL} as content_class from parsed)"),
         "parsed",
     ),
 )
 def h7(spark, sf):
-    return profile.raw_statistics(parsed(spark, sf))
+    return profile.raw_statistics(parsed(spark, sf), k=3)
 
 
 @check(

@@ -147,7 +147,7 @@ select *, ips[1] as source_ip, ips[2] as destination_ip,
 from matched"""
 
 CLEANED = """
-select *, substr(md5(concat_ws('|', 'events.log', cast(line_no as varchar), text)), 1, 16) as id,
+select *, substr(md5(concat_ws('|', 'events.log', text)), 1, 16) as id,
   cast(least(100, case severity when 0 then 50 when 1 then 50 when 2 then 40 when 3 then 30 when 4 then 20 when 5 then 10 else 5 end
     + case when is_security then 30 + case when threat_name is not null then 20 else 0 end else 0 end
     + case when destination_port in (22, 23, 1433, 3389, 5900) then 10 else 0 end

@@ -178,7 +178,8 @@ def with_event_features(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def event_feature_row(df: DataFrame, ts: str = "ts", keep=()) -> DataFrame:
-    cols = [F.col(c).cast("double").alias(c) for c in V.EVENT_FEATURES]
+    # one missing value would stop the assembler, and with it the whole job
+    cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in V.EVENT_FEATURES]
     return with_event_features(df, ts).select(*keep, *cols)
 
 

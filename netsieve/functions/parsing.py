@@ -181,8 +181,8 @@ def parse_lines(df: DataFrame, ref_year: int | None = None, line_col: str = "lin
     return df.withColumn("severity_name", name).drop("_pri", "_time", "_time3", "_host", "_pid", "_number")
 
 
-def record_id(*parts: Column) -> Column:
-    """Deterministic 16-digit id from where a line stands and what it says."""
+def record_id(*parts: Column | str) -> Column:
+    """Deterministic 16-digit id from the file of a line and what it says; nulls are left out."""
     return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 16)
 
 

@@ -19,7 +19,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +44,10 @@ def density_noise(
     """Add ``out``: 1 for noise rows. A batch operator: the flag depends on all rows."""
     width = len(df.select(features).first()[0])
     axes = PCA(k=width, inputCol="v", outputCol="z").fit(df.select(F.col(features).alias("v")))
-    distinct = df.groupBy(F.col(features).alias("v")).agg(F.count(F.lit(1)).alias("mult"))
-    rotated = axes.transform(distinct).select(
-        vector_to_array("v").alias("x"), vector_to_array("z").alias("z"), "mult"
-    )
+    # by values: a dense and a sparse vector of one point are one point
+    distinct = df.groupBy(vector_to_array(features).alias("x")).agg(F.count(F.lit(1)).alias("mult"))
+    distinct = distinct.withColumn("v", array_to_vector("x"))
+    rotated = axes.transform(distinct).select("x", vector_to_array("z").alias("z"), "mult")
     # a hair below the exact side, so that rounding never joins points farther than eps
     side = eps / math.sqrt(width) * (1 - 1e-9)
     points = rotated.withColumns({"id": _point_id(F.col("x")), "_cell": _cell(F.col("x"), side)})

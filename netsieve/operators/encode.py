@@ -12,15 +12,12 @@ from pyspark.sql import functions as F
 
 from netsieve.functions.features import lookup
 from netsieve.operators.ordering import global_index
+from netsieve.operators.skew import join_spread
 
-# Category lists up to this length become literals of the plan.
-LITERAL_CATEGORIES = 1000
 
-
-def category_values(df: DataFrame, column: str, most: int = LITERAL_CATEGORIES) -> list | None:
-    """Sorted distinct values if there are at most ``most`` of them, else None."""
-    rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
-    return sorted(r[0] for r in rows) if len(rows) <= most else None
+def category_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct values, for results with a column per value."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def code_table(df: DataFrame, column: str) -> DataFrame:
@@ -30,12 +27,9 @@ def code_table(df: DataFrame, column: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Alphabetical integer codes: a literal lookup for short lists, a join beyond."""
-    values = category_values(df, column)
-    if values is not None:
-        return df.withColumn(out, label_code(F.col(column), values))
+    """Alphabetical integer codes, by a join that spreads frequent values; null stays null."""
     codes = code_table(df, column).withColumnRenamed("code", out)
-    return df.join(codes, column, "left")
+    return join_spread(df.drop(out), codes, [column]).select(*[c for c in df.columns if c != out], out)
 
 
 def label_code(value: Column, values: list) -> Column:
@@ -49,12 +43,22 @@ def one_hot_columns(column: str, prefix: str, values: list) -> list[Column]:
 
 
 def fit_one_hot(df: DataFrame, column: str) -> list:
-    """Values seen in training, in column order; null is the value ``unknown``."""
+    """Values seen in training, in column order; null is the value ``unknown``.
+
+    A column per value suits values that a reader can list; for others see :func:`one_hot_sparse`.
+    """
     filled = df.select(F.coalesce(F.col(column).cast("string"), F.lit("unknown")).alias("v"))
-    values = category_values(filled, "v")
-    if values is None:
-        raise ValueError(f"{column} has too many values for columns; index it as a sparse vector instead")
-    return values
+    return category_values(filled, "v")
+
+
+def one_hot_sparse(df: DataFrame, column: str, codes: DataFrame, out: str) -> DataFrame:
+    """Add ``out``, the codes of the cells that hold a 1, for any number of values.
+
+    ``codes`` is a :func:`code_table` of the training rows; an unseen value and null have no cell.
+    """
+    coded = join_spread(df, codes.withColumnRenamed("code", "_code"), [column])
+    cells = F.array_compact(F.array("_code"))
+    return coded.withColumn(out, cells).select(*[c for c in df.columns if c != out], out)
 
 
 def population_stats(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:

@@ -95,12 +95,13 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, values: list | None = None) -> DataFrame:
-    """One row per label, one ``pred_<value>`` column per predicted value."""
+    """One row per label, one ``pred_<value>`` column per predicted value.
+
+    :func:`prediction_counts` is the same in long form, for any number of classes.
+    """
     counts = prediction_counts(df, label, prediction)
     if values is None:
         values = category_values(counts, "prediction")
-        if values is None:
-            raise ValueError("too many classes for a matrix; use prediction_counts")
     wide = counts.groupBy("label").pivot("prediction", values).agg(F.sum("n"))
     return wide.select("label", *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(f"pred_{v}") for v in values])
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from netsieve.session import cut_lineage
 
-# Below this many rows the last step of a quantile search sorts on the driver.
-SMALL = 100_000
+# Rank error that percentile_approx may make, as a share of the rows.
+ACCURACY = 10_000
 
 
 def range_buckets(df: DataFrame, order: list, buckets: int | None = None) -> DataFrame:
@@ -63,9 +63,9 @@ def global_index(df: DataFrame, order: list, name: str = "index", buckets: int |
 def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
     """Quantile with linear interpolation, exact at any size.
 
-    Each round asks for an approximate bracket around the wanted rank, counts what
-    lies below it and keeps only the bracket. The driver reads a handful of numbers
-    per round, and at the end at most ``SMALL`` distinct values.
+    One pass brackets the ranks on both sides of the position, one counts what lies below
+    the bracket, and the counts of the distinct values inside are totalled up in ranges. The
+    driver reads a handful of numbers.
     """
     rows = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
     # one narrow column, read a few times: spills to disk rather than run its source again
@@ -76,42 +76,16 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
             return None
         position = p * (total - 1)
         rank = int(position)
-        low = _value_at(rows, total, rank)
-        if position == rank:
-            return low
-        high = _value_at(rows, total, rank + 1)
-        return low + (high - low) * (position - rank)
+        ranks = [rank, min(rank + 1, total - 1)]
+        cut = [max(ranks[0] / total - 3 / ACCURACY, 0.0), min((ranks[1] + 1) / total + 3 / ACCURACY, 1.0)]
+        low, high = rows.agg(F.percentile_approx("v", cut, ACCURACY)).first()[0]
+        below, inside = rows.agg(F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))).first()
+        if not below <= ranks[0] <= ranks[1] < below + inside:
+            raise AssertionError("quantile bracket missed its rank")
+        counts = rows.where(F.col("v").between(low, high)).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        ends = running_totals(counts, ["v"], {"before": "n"}).withColumn("before", F.col("before") + below)
+        hit = [(F.col("before") <= r) & (F.col("before") + F.col("n") > r) for r in ranks]
+        found = ends.agg(*[F.max(F.when(h, F.col("v"))) for h in hit]).first()
+        return found[0] + (found[1] - found[0]) * (position - rank)
     finally:
         rows.unpersist()
-
-
-def _value_at(rows: DataFrame, total: int, rank: int) -> float:
-    accuracy = 10_000
-    while total > SMALL:
-        share = (rank + 0.5) / total
-        cut = [max(share - 3 / accuracy, 0.0), min(share + 3 / accuracy, 1.0)]
-        low, high = rows.agg(F.percentile_approx("v", cut, accuracy)).first()[0]
-        below, inside = rows.agg(
-            F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))
-        ).first()
-        if not below <= rank < below + inside:
-            raise AssertionError("quantile bracket missed its rank")
-        if low == high:
-            return low
-        if inside == total:
-            break
-        rows, total, rank = rows.where(F.col("v").between(low, high)), inside, rank - below
-    return _value_in_small(rows, rank)
-
-
-def _value_in_small(rows: DataFrame, rank: int) -> float:
-    """Few distinct values are left: bring value counts to the driver, or rank them in ranges."""
-    counts = rows.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    head = counts.limit(SMALL + 1).collect()
-    if len(head) <= SMALL:
-        for value, n in sorted((r["v"], r["n"]) for r in head):
-            if rank < n:
-                return value
-            rank -= n
-    ranked = running_totals(counts, ["v"], {"before": "n"})
-    return ranked.where((F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)).first()["v"]

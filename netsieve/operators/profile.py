@@ -76,8 +76,10 @@ def distribution(df: DataFrame, columns: list[str], digits: int = 6) -> DataFram
     """``(kind, name, n, percent)`` of several columns from one scan."""
     text = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
     counts = text.unpivot([], columns, "kind", "name").groupBy("kind", "name").agg(_count())
-    whole = F.sum("n").over(Window.partitionBy("kind"))
-    return counts.withColumn("percent", _percent(F.col("n"), whole, digits))
+    # one row per column of the request; a window would gather all values of a kind in one task
+    totals = F.broadcast(counts.groupBy("kind").agg(F.sum("n").alias("_whole")))
+    shares = counts.join(totals, "kind").withColumn("percent", _percent(F.col("n"), F.col("_whole"), digits))
+    return shares.drop("_whole")
 
 
 def extraction_counts(cleaned: DataFrame) -> DataFrame:
@@ -127,14 +129,14 @@ def top_counts(df: DataFrame, column: str, k: int = 10) -> DataFrame:
 def raw_statistics(parsed: DataFrame, k: int = 10) -> DataFrame:
     """Content classes, severities and the k top programs with shares, one scan.
 
-    There are ten classes and eight severities, so the limit only cuts programs.
+    The limit cuts programs only.
     """
     rows = parsed.withColumn("_low", F.lower("message")).select(
         content_class("_low").alias("content_class"), "severity", "program"
     )
     counts = distribution(rows, ["content_class", "severity", "program"])
-    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "name"))
-    return counts.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+    programs = counts.where("kind = 'program'").orderBy(F.desc("n"), "name").limit(k)
+    return counts.where("kind <> 'program'").unionByName(programs)
 
 
 def dataset_profile(cleaned: DataFrame) -> DataFrame:

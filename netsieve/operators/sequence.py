@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from netsieve.operators.ordering import exact_quantile, global_index, range_buckets
 
-# A key with more rows than this is cut into ranges of its order.
-ROWS_PER_KEY = 1_000_000
-
 
 def order_events(df: DataFrame, order: list) -> DataFrame:
     """Index events from 0 in time order, over the whole table."""
@@ -17,29 +14,14 @@ def order_events(df: DataFrame, order: list) -> DataFrame:
 
 
 def previous_rows(
-    df: DataFrame, key: str | None, order: list, value: str, length: int = 10, out: str = "sequence",
-    rows_per_key: int = ROWS_PER_KEY, buckets: int | None = None,
+    df: DataFrame, key: str | None, order: list, value: str, length: int = 10, out: str = "sequence", buckets: int | None = None
 ) -> DataFrame:
     """Add ``out``: ``value`` of the ``length`` rows before each row of its key, oldest
-    first; rows with fewer predecessors are dropped.
+    first and nulls included; rows with fewer predecessors are dropped.
 
-    ``key=None`` is the global order. Keys of ordinary size take one window; if some
-    key is larger, or the order is global, the windows run per range of the order and
-    each range receives the last rows of the ranges before it.
+    ``key=None`` is the global order. The windows run per range of key and order, so a key of
+    any size is spread, and each range receives the last rows of the ranges before it.
     """
-    if key is not None:
-        largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        if largest <= rows_per_key:
-            return _window(df, [key], order, value, length, out)
-    return _ranged(df, key, order, value, length, out, buckets)
-
-
-def _window(df, partition, order, value, length, out):
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-length, -1)
-    return df.withColumn(out, F.collect_list(value).over(w)).where(F.size(out) == length)
-
-
-def _ranged(df, key, order, value, length, out, buckets):
     keys = [key] if key is not None else ["_all"]
     rows = df if key is not None else df.withColumn("_all", F.lit(0))
     rows = range_buckets(rows, keys + order, buckets)
@@ -59,7 +41,10 @@ def _ranged(df, key, order, value, length, out, buckets):
         .select(*keys, "_bucket", "_c.*", F.lit(True).alias("_carried"))
     )
     both = rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    done = _window(both, keys + ["_bucket"], order, value, length, out)
+    # structs, since lists leave nulls out
+    before = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(-length, -1)
+    done = both.withColumn(out, F.collect_list(F.struct(F.col(value).alias("v"))).over(before)).where(F.size(out) == length)
+    done = done.withColumn(out, F.transform(out, lambda x: x["v"]))
     return done.where(~F.col("_carried")).drop("_carried", "_bucket", "_all")
 
 

@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from netsieve.functions.text import sentiment_label
 
-# A word list up to this many entries is broadcast; a longer one is joined by shuffle.
-BROADCAST_WORDS = 500_000
 
 
 def fit_tfidf(
@@ -73,9 +71,8 @@ def vocabulary(model: PipelineModel) -> list[str]:
 def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Add ``sentiment_score``, the mean polarity of the listed words of a row (0 without
     any), and ``sentiment``. ``lexicon`` has ``word, polarity``; ``key`` is unique."""
-    small = lexicon.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
     words = df.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z']+"), F.lit(0))).alias("word"))
-    hits = words.join(F.broadcast(lexicon) if small else lexicon, "word")
+    hits = words.join(lexicon, "word")
     # all words of a row sit in one task, so the partial sums already fold to one per row
     scores = hits.groupBy(key).agg(F.avg("polarity").alias("sentiment_score"))
     out = df.join(scores, key, "left")

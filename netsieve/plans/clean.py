@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from netsieve import schema
@@ -68,9 +68,12 @@ def clean(lines: DataFrame, options: CleanOptions | None = None) -> DataFrame:
     rows = parsed_rows(lines, options)
     if options.remove_duplicates:
         rows = keep_first(rows)
-    rows = rows.withColumn(
-        "id", record_id(F.col("source_file"), F.col("line_seq").cast("string"), F.col("original_message"))
-    )
+        rows = rows.withColumn("id", record_id("source_file", "original_message"))
+    else:
+        # equal lines of a file are told apart by their order; the first has the id it has after dedup
+        again = F.row_number().over(Window.partitionBy("source_file", "original_message").orderBy("block_start", "line_seq"))
+        number = F.when(again > 1, again.cast("string"))
+        rows = rows.withColumn("id", record_id("source_file", "original_message", number))
     rows = enrich(rows, options).withColumn("processed_at", F.current_timestamp())
     out = rows.select(*CLEANED_COLUMNS, *POSITION, "ips")
     return options.criteria.apply(out)

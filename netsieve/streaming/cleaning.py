@@ -14,18 +14,17 @@ from netsieve.plans.clean import CleanOptions, enrich
 def clean_stream(lines: DataFrame, options: CleanOptions | None = None, dedup_watermark: str | None = None) -> DataFrame:
     """The batch column functions on a stream of lines (``line, source_file, block_start``).
 
-    Without ``dedup_watermark`` the plan is stateless. With it, repeats are dropped
-    while their first occurrence lies within the watermark; the batch plan drops them
-    for good. A stream has no line number, so the id covers file, split and text.
+    Without ``dedup_watermark`` the plan is stateless. With it, repeats are dropped that
+    arrive within that time of the first occurrence; the batch plan drops them for good.
+    The watermark runs on arrival, so no record is ever late, whatever its own time says or
+    if it says none. Ids are those of the batch plan after dedup: file and text.
     """
     options = options or CleanOptions()
     rows = parse_lines(lines.where(parseable(F.col("line"))), options.ref_year)
     rows = rows.withColumn("processed_at", F.current_timestamp())
     if dedup_watermark:
-        rows = rows.withColumn("event_time", F.coalesce("timestamp", "processed_at"))
-        rows = keep_first_stream(rows, "event_time", dedup_watermark)
-    place = [F.col("source_file"), F.col("block_start").cast("string"), F.col("original_message")]
-    rows = enrich(rows.withColumn("id", record_id(*place)), options)
+        rows = keep_first_stream(rows, "processed_at", dedup_watermark)
+    rows = enrich(rows.withColumn("id", record_id("source_file", "original_message")), options)
     return options.criteria.apply(rows.select(*[f.name for f in schema.CLEANED.fields], "source_file"))
 
 
