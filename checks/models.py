@@ -68,7 +68,7 @@ _model_check("l5_naive_bayes", "Naive Bayes")
 
 @check("l6_l7_cross_validated_comparison")
 def l6(spark, sf):
-    fitted, _ = _train(spark, sf, ["Random Forest", "Logistic Regression", "Naive Bayes"], folds=3, trees=20, iterations=50)
+    fitted, _ = _train(spark, sf, ["Random Forest", "Logistic Regression", "Naive Bayes"], folds=3)
     return classify.comparison(spark, fitted)
 
 
@@ -158,8 +158,8 @@ def l11(spark, sf):
     vectors = plans.fit_mining_vectors(rows)
     train = vectors.transform(rows).select("category", "level", "features")
     models = {
-        "category": classify.fit_text_classifier(train, "category", "category", depth=8, trees=20),
-        "severity": classify.fit_text_classifier(train, "level", "severity", depth=8, trees=20),
+        "category": classify.fit_text_classifier(train, "category", "category", depth=20),
+        "severity": classify.fit_text_classifier(train, "level", "severity", depth=15),
     }
     new = plans.new_text_columns(logs(spark, sf).select("message").distinct())
     scored = classify.score_text(vectors.transform(new).select("message", "features"), models)
@@ -213,14 +213,15 @@ def l13_accuracy(spark, sf):
 
 @check("l15_first_layer_importance")
 def l15(spark, sf):
-    model, rows = _dense(spark, sf, 10)
+    model, rows = _dense(spark, sf)
     return classify.first_layer_importance(spark, model, [f"feature_{i}" for i in range(model.getLayers()[0])])
 
 
 @check("l16_score_incoming_events")
 def l16(spark, sf):
-    model, rows = _dense(spark, sf, 10)
-    return profile.score_summary(classify.score_dense(rows, model), "predicted_anomaly")
+    model, rows = _dense(spark, sf)
+    # the held-out rows stand for incoming ones
+    return profile.score_summary(classify.score_dense(rows.where("is_test"), model), "predicted_anomaly")
 
 
 _FLAGS = {"level": "level_rule", "length": "length_rule", "down": "down_rule"}
@@ -354,7 +355,7 @@ def m11(spark, sf):
 def a9(spark, sf):
     df, _ = anomaly.log_vectors(derived.spread(logs(spark, sf)), ["event_id", "level", "true_label"])
     df = df.persist()
-    detector = anomaly.fit_detector(df, models=("isolation_forest", "one_class_svm", "pca"))
+    detector = anomaly.fit_detector(df)
     return writers.anomaly_results(detector.detect(df), detector.names)
 
 
@@ -572,7 +573,7 @@ def a6(spark, sf):
 
 @check("a13_classification_results")
 def a13(spark, sf):
-    fitted, _ = _train(spark, sf, ["Random Forest", "Naive Bayes"], trees=20)
+    fitted, _ = _train(spark, sf, ["Random Forest", "Naive Bayes"])
     names = classify.feature_names(classifier_rows(spark, sf))
     forest = next(m.model for m in fitted if m.name == "Random Forest")
     path = f"{scratch(spark)}/results"

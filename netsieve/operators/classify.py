@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import IndexToString, MinMaxScaler, StringIndexer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +27,12 @@ from netsieve.operators.encode import stratified_split
 MODEL_SCHEMA = "model string, accuracy double, cv_mean double, cv_std double"
 
 
-def estimators(trees: int = 100, depth: int = 5, rounds: int = 100, iterations: int = 1000, seed: int = 42) -> dict[str, Estimator]:
+def estimators(trees: int = 100, depth: int = 30, rounds: int = 100, iterations: int = 1000, seed: int = 42) -> dict[str, Estimator]:
     """The five classifiers over ``features`` and the numeric ``target``.
 
     Boosting and the linear support vectors are two-class in Spark, so both run one
-    against the rest; all costs are linear in the rows, none is skipped on big data.
+    against the rest; all costs are linear in the rows, none is skipped on big data. Trees of
+    the forest grow to the depth that Spark allows.
     """
     cols = {"featuresCol": "features", "labelCol": "target"}
     return {
@@ -49,9 +50,14 @@ def index_target(df: DataFrame, label: str):
     return model.transform(df), model
 
 
-def with_non_negative(df: DataFrame) -> DataFrame:
-    """Features moved into [0, 1] for the multinomial model."""
-    return MinMaxScaler(inputCol="features", outputCol="non_negative").fit(df).transform(df)
+def with_non_negative(df: DataFrame, train: DataFrame) -> DataFrame:
+    """Features moved into [0, 1], the range of the training rows, for the multinomial model.
+
+    Values outside that range are cut to it, since the model takes no negative ones.
+    """
+    scaled = MinMaxScaler(inputCol="features", outputCol="_scaled").fit(train).transform(df)
+    clipped = F.transform(vector_to_array("_scaled"), lambda x: F.greatest(F.least(x, F.lit(1.0)), F.lit(0.0)))
+    return scaled.withColumn("non_negative", array_to_vector(clipped)).drop("_scaled")
 
 
 @dataclass
@@ -84,8 +90,8 @@ def train_and_compare(
     Returns the fitted models, best first, and the held-out rows.
     """
     rows, _ = index_target(df.na.drop(subset=[label]), label)
-    rows = with_non_negative(rows)
-    rows = stratified_split(rows, label, key, 0.2, seed)
+    rows = stratified_split(rows, label, key, 0.2, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = with_non_negative(rows, rows.where(~F.col("is_test")))
     hashed = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
     rows = rows.withColumn("fold", F.pmod(hashed, F.lit(max(folds, 1))).cast("int"))
     rows = rows.select("features", "non_negative", "target", label, *key, "is_test", "fold").persist(StorageLevel.MEMORY_AND_DISK)
@@ -112,7 +118,8 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     return [found[i] for i in sorted(found)]
 
 
-def importances(spark, model, names: list[str], top: int = 20) -> DataFrame:
+def importances(spark, model, names: list[str], top: int | None = None) -> DataFrame:
+    """Features by falling importance, all of them or the ``top`` ones."""
     values = model.featureImportances.toArray()
     order = sorted(range(len(values)), key=lambda i: (-values[i], names[i]))[:top]
     return spark.createDataFrame([(names[i], float(values[i])) for i in order], "feature string, importance double")
