@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from netsieve.llm import words
 from netsieve.llm.components import connected_components
 from netsieve.llm.store import stored, whole_groups
+from netsieve.operators.skew import join_spread
 
 SIGNATURE = 72  # MinHash values of a document
 STEP = 3  # a new sorted order begins at every third value: 24 orders
@@ -140,7 +141,7 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     crowded = shared.where(F.col("m") > BLOCK).select("doc_id", F.col("deep").alias("key"))
     deep_sizes = crowded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     regions = shared.where(F.col("m") <= BLOCK).select("key", "doc_id", "m").union(
-        crowded.join(deep_sizes, "key").select("key", "doc_id", "m")
+        join_spread(crowded, deep_sizes, ["key"], "inner").select("key", "doc_id", "m")
     )
     rows = regions.join(nodes.select("doc_id", "n_shingles", "sig"), "doc_id")
     fewest = _fewest(percent)
@@ -233,7 +234,7 @@ def _root(part: np.ndarray, x: int) -> int:
 def _confirmed(docs: DataFrame, clusters: DataFrame, width: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` that hold on full sets and connect each component."""
     clusters = clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("key"))
-    clusters = stored(clusters.join(clusters.groupBy("key").agg(F.count("*").alias("m")), "key"), "clusters")
+    clusters = stored(join_spread(clusters, clusters.groupBy("key").agg(F.count("*").alias("m")), ["key"], "inner"), "clusters")
     rows = docs.join(clusters, "doc_id").select("key", "doc_id", "m", "text")
     fewest = _fewest(percent)
 
