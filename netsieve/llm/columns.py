@@ -28,6 +28,14 @@ def add_columns(df: DataFrame, fn, added: str, replaced: tuple[str, ...] = ()) -
     return df.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def position(df: DataFrame, name: str) -> int:
     """Place of a column, by its name in any case."""
     return [f.name.lower() for f in df.schema].index(name.lower())

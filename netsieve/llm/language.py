@@ -50,6 +50,8 @@ class LanguageModel:
 
     def predict(self, column) -> tuple[list[str], np.ndarray]:
         """Language and score of each text of an Arrow column."""
+        if not self.languages:
+            return ["und"] * len(column), np.zeros(len(column))
         lettered = pc.fill_null(pc.match_substring_regex(column, r"\pL"), False).to_numpy(zero_copy_only=False)
         best, score = np.zeros(len(column), dtype=np.int64), np.zeros(len(column))
         for row, data, offsets in words.slices(pc.utf8_lower(column)):
@@ -67,9 +69,8 @@ class LanguageModel:
             counts = np.maximum(counts - total[:, None] * self.false_rate, 0) / (1 - self.false_rate)
             best[row : row + n] = np.where(counts.any(axis=1), counts.argmax(axis=1), self.usual)
             score[row : row + n] = counts.max(axis=1) / np.maximum(counts.sum(axis=1), 1e-9)
-        known = lettered & bool(self.languages)
-        names = [self.languages[b] if ok else "und" for b, ok in zip(best, known, strict=True)]
-        return names, np.where(known, np.clip(score, 0, 1), 0.0)
+        names = [self.languages[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)]
+        return names, np.where(lettered, np.clip(score, 0, 1), 0.0)
 
 
 def _slots(grams):

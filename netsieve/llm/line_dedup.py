@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsieve.llm.columns import add_columns, position
+from netsieve.llm.columns import add_columns, free_name, position
 from netsieve.llm.store import stored
 
 LINES = 3
@@ -38,11 +38,12 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = stored(windows.join(repeated, ["h1", "h2"]), "repeated")
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("id", "row", "line")).alias("first"))
     later = found.join(first, ["h1", "h2"]).where(~F.struct("id", "row", "line").eqNullSafe(F.col("first")))
-    covered = later.groupBy("row").agg(F.sort_array(F.collect_set("line")).alias("__later"))
-    marked = docs.withColumn("__row", row).join(covered.withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
-    at, text = position(marked, "__later"), position(marked, text_col)
+    key, gone = free_name(docs, "_row"), free_name(docs, "_later")
+    covered = later.groupBy(F.col("row").alias(key)).agg(F.sort_array(F.collect_set("line")).alias(gone))
+    marked = docs.withColumn(key, row).join(covered, key, "left").drop(key)
+    at, text = position(marked, gone), position(marked, text_col)
     name = marked.columns[text]
-    cut = add_columns(marked, _cutter(text, at, lines), f"`{name}` string, n_lines long, n_removed long", replaced=("__later",))
+    cut = add_columns(marked, _cutter(text, at, lines), f"`{name}` string, n_lines long, n_removed long", replaced=(gone,))
     return cut.select(*[f"`{c}`" for c in docs.columns if c.lower() not in ("n_lines", "n_removed")], "n_lines", "n_removed")
 
 
