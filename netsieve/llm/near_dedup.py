@@ -18,6 +18,7 @@ SIGNATURE = 72  # MinHash values of a document
 STEP = 3  # a new sorted order begins at every third value: 24 orders
 SHALLOW, DEEP = 3, 4  # depth of sparse and of crowded regions
 BLOCK = 256  # documents of a region or cluster that one task compares with as many others
+LEADERS = 4  # members of a larger one that are tried as its leader
 # Of 72 values, two sets with similarity s agree in 72 s on average. At 0.8 fewer than 40
 # agree in about one case of a million; other thresholds keep the same distance.
 SLACK = 5.3
@@ -58,7 +59,7 @@ def near_duplicates(
     # classes with one smallest id (an id that repeats with other texts) count as one node
     nodes = sketches.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").where("n_shingles > 0")
     clusters = connected_components(_candidates(nodes, percent))
-    links = _confirmed(docs, clusters, width, percent)
+    links = _confirmed(docs, nodes, clusters, width, percent)
     components = connected_components(links).withColumnRenamed("node", "rep")
     found = classes.join(components, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("found"))
     component = F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id"))
@@ -140,11 +141,11 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     shared = stored(rows.join(sizes, "key"), "regions")
     crowded = shared.where(F.col("m") > BLOCK).select("doc_id", F.col("deep").alias("key"))
     deep_sizes = crowded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    regions = shared.where(F.col("m") <= BLOCK).select("key", "doc_id", "m").union(
-        join_spread(crowded, deep_sizes, ["key"], "inner").select("key", "doc_id", "m")
-    )
-    rows = regions.join(nodes.select("doc_id", "n_shingles", "sig"), "doc_id")
+    deep = stored(join_spread(crowded, deep_sizes, ["key"], "inner").select("key", "doc_id", "m"), "crowded")
+    small = shared.select("key", "doc_id", "m").union(deep).where(F.col("m") <= BLOCK)
     fewest = _fewest(percent)
+    led = _led(deep.where(F.col("m") > BLOCK), nodes, percent, fewest)
+    rows = _with_open(small, led).join(nodes.select("doc_id", "n_shingles", "sig"), "doc_id")
 
     def compare(batches):
         for table in whole_groups(batches, "key", "i", "j"):
@@ -155,23 +156,62 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
             def close(p, q):
                 return _close(sizes, signatures, p, q, percent, fewest)
 
-            p, q = _joining(_codes(table, "key", "i", "j"), close)
+            p, q = _joining(_codes(table, "key", "i", "j"), table["joined"].to_numpy(), close)
             yield pa.RecordBatch.from_arrays([pa.array(ids[p]), pa.array(ids[q])], ["a", "b"])
 
-    return _by_blocks(rows, "key").mapInArrow(compare, "a long, b long")
+    links = _by_blocks(rows, "key").mapInArrow(compare, "a long, b long")
+    return links.union(led.where("joined and doc_id <> leader").select("leader", "doc_id"))
+
+
+def _led(rows: DataFrame, nodes: DataFrame, percent: int, fewest: int) -> DataFrame:
+    """``key, doc_id, m, leader, joined``: the leader of each group and who is close to it.
+
+    Of ``LEADERS`` members drawn by hash the one leads that has the most members close to it.
+    """
+    rows = rows.join(nodes.select("doc_id", "n_shingles", "sig"), "doc_id")
+    member = F.struct("doc_id", "n_shingles", "sig")
+    drawn = F.array(*[F.min_by(member, F.xxhash64(F.lit(t), "doc_id")) for t in range(LEADERS)])
+    rows = join_spread(rows, rows.groupBy("key").agg(drawn.alias("drawn")), ["key"], "inner")
+
+    def near(other):
+        alike = F.size(F.filter(F.zip_with("sig", other["sig"], lambda a, b: a == b), lambda x: x)) >= fewest
+        sizes = F.least("n_shingles", other["n_shingles"]) * 100 >= F.greatest("n_shingles", other["n_shingles"]) * percent
+        return sizes & alike
+
+    rows = rows.select("key", "doc_id", "m", F.col("drawn.doc_id").alias("drawn"), F.transform("drawn", near).alias("near"))
+    rows = stored(rows, "led")
+    counts = [F.struct(F.count_if(F.col("near")[t]).alias("n"), F.lit(t).alias("t")) for t in range(LEADERS)]
+    best = rows.groupBy("key").agg(F.greatest(*counts)["t"].alias("best"))
+    rows = join_spread(rows, best, ["key"], "inner")
+    leader = F.col("drawn")[F.col("best")]
+    return rows.select("key", "doc_id", "m", leader.alias("leader"), (F.col("near")[F.col("best")] | (F.col("doc_id") == leader)).alias("joined"))
+
+
+def _with_open(small: DataFrame, led: DataFrame) -> DataFrame:
+    """Rows of all groups with ``joined`` and ``n_open``, the number of rows that are not.
+
+    Groups that their leader joins as a whole have nothing left to compare.
+    """
+    still = led.groupBy("key").agg(F.count_if(~F.col("joined")).alias("n_open")).where("n_open > 0")
+    rest = join_spread(led, still, ["key"], "inner").select("key", "doc_id", "m", "joined", "n_open")
+    return small.select("key", "doc_id", "m", F.lit(False).alias("joined"), F.col("m").alias("n_open")).union(rest)
 
 
 def _by_blocks(rows: DataFrame, key: str) -> DataFrame:
-    """Each group of ``key`` (with ``m`` rows) as pairs of blocks, a pair within one task.
+    """Each group of ``key`` as pairs of blocks, a pair within one task.
 
-    A group of up to ``BLOCK`` rows is one block. A larger one is dealt over more; every row
-    goes to each pair of blocks that its block is part of.
+    Open and joined rows are dealt over blocks of about ``BLOCK`` rows of their own kind. An
+    open row goes to each pair that its block is part of, a joined one only to pairs with open
+    blocks. A group of up to ``BLOCK`` rows is one block.
     """
-    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    n_open = F.ceil(F.col("n_open") / F.lit(BLOCK)).cast("int")
+    n_joined = F.ceil((F.col("m") - F.col("n_open")) / F.lit(BLOCK)).cast("int")
+    at = F.xxhash64("doc_id")
+    own = F.when(F.col("joined"), n_open + F.pmod(at, F.greatest(n_joined, F.lit(1)))).otherwise(F.pmod(at, n_open)).cast("int")
+    last = n_open - 1 + F.when(F.col("joined"), 0).otherwise(n_joined)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    return rows.drop("m", "own", "other").repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "doc_id")
+    return rows.drop("m", "n_open", "own", "other").repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "doc_id")
 
 
 def _codes(table: pa.Table, *keys: str) -> np.ndarray:
@@ -193,14 +233,16 @@ def _close(sizes, signatures, p, q, percent, fewest) -> np.ndarray:
     return ok
 
 
-def _joining(groups: np.ndarray, test) -> tuple[np.ndarray, np.ndarray]:
+def _joining(groups: np.ndarray, joined: np.ndarray, test) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of one group that pass ``test`` and join two parts of it.
 
-    All pairs are tried, by rising distance in the table, but for those whose rows are
-    already joined.
+    The ``joined`` rows of a group are one part from the start. All pairs are tried, by rising
+    distance in the table, but for those whose rows are already joined.
     """
     n = len(groups)
     part = np.arange(n)
+    led = np.flatnonzero(joined)
+    part[led] = led[np.searchsorted(groups[led], groups[led])]
     first, second = [], []
     rows, lag = np.arange(n), 0
     while True:
@@ -231,12 +273,18 @@ def _root(part: np.ndarray, x: int) -> int:
     return x
 
 
-def _confirmed(docs: DataFrame, clusters: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, width: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` that hold on full sets and connect each component."""
     clusters = clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("key"))
     clusters = stored(join_spread(clusters, clusters.groupBy("key").agg(F.count("*").alias("m")), ["key"], "inner"), "clusters")
-    rows = docs.join(clusters, "doc_id").select("key", "doc_id", "m", "text")
+    small, large = clusters.where(F.col("m") <= BLOCK), clusters.where(F.col("m") > BLOCK)
     fewest = _fewest(percent)
+    led = _led(large, nodes, percent, fewest)
+    sure = stored(_linked_to_leader(docs, led, width, percent), "led_links")
+    known = sure.select("key", F.col("b").alias("doc_id")).union(led.where("doc_id = leader").select("key", "doc_id")).distinct()
+    led = large.join(known.withColumn("joined", F.lit(True)), ["key", "doc_id"], "left")
+    led = stored(led.withColumn("joined", F.coalesce("joined", F.lit(False))), "confirmed")
+    rows = docs.join(_with_open(small, led), "doc_id").select("key", "doc_id", "m", "joined", "n_open", "text")
 
     def confirm(batches):
         for table in whole_groups(batches, "key", "i", "j"):
@@ -251,15 +299,49 @@ def _confirmed(docs: DataFrame, clusters: DataFrame, width: int, percent: int) -
             def linked(p, q):
                 ok = _close(sizes, signatures, p, q, percent, fewest)
                 for k in np.flatnonzero(ok):
-                    a, b = sets[p[k]], sets[q[k]]
-                    common = _common(a, b)
-                    ok[k] = common > 0 and 100 * common >= percent * (len(a) + len(b) - common)
+                    ok[k] = _alike(sets[p[k]], sets[q[k]], percent)
                 return ok
 
-            p, q = _joining(_codes(table, "key", "i", "j"), linked)
+            p, q = _joining(_codes(table, "key", "i", "j"), table["joined"].to_numpy(), linked)
             yield pa.RecordBatch.from_arrays([pa.array(ids[p]), pa.array(ids[q])], ["a", "b"])
 
-    return _by_blocks(rows, "key").mapInArrow(confirm, "a long, b long")
+    return _by_blocks(rows, "key").mapInArrow(confirm, "a long, b long").union(sure.select("a", "b"))
+
+
+def _linked_to_leader(docs: DataFrame, led: DataFrame, width: int, percent: int) -> DataFrame:
+    """``key, a, b``: the leader of each group and the close members whose full sets agree.
+
+    Members are dealt over blocks of about ``BLOCK``; the leader goes to all of them.
+    """
+    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    leads = F.col("doc_id") == F.col("leader")
+    block = F.when(leads, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), blocks).cast("int")))
+    dealt = led.where("joined").select("key", "doc_id", leads.alias("leads"), F.explode(block).alias("block"))
+    rows = docs.join(dealt, "doc_id").select("key", "doc_id", "leads", "block", "text")
+
+    def confirm(batches):
+        for table in whole_groups(batches, "key", "block"):
+            keys, ids, leads = (table[c].to_pylist() for c in ("key", "doc_id", "leads"))
+            at, found, leaders = 0, [], []
+            codes = _codes(table, "key", "block")
+            for _, values, offsets in _sets(table["text"], width):
+                for own in np.split(values, offsets[1:-1]):
+                    if at and codes[at] != codes[at - 1]:
+                        leaders = []
+                    if leads[at]:
+                        leaders.append((ids[at], own))
+                    else:
+                        found += [(keys[at], a, ids[at]) for a, other in leaders if _alike(other, own, percent)]
+                    at += 1
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)], ["key", "a", "b"])
+
+    ordered = rows.repartition("key", "block").sortWithinPartitions("key", "block", F.desc("leads"))
+    return ordered.mapInArrow(confirm, "key long, a long, b long")
+
+
+def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    common = _common(a, b)
+    return common > 0 and 100 * common >= percent * (len(a) + len(b) - common)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:

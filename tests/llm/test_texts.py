@@ -79,6 +79,24 @@ def test_crowded_regions_lose_no_link(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == helpers.components(texts, 4)
 
 
+def test_members_far_from_the_leader_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rng = random.Random(4)
+    start = [f"w{i}" for i in range(120)]
+    texts, i = {}, 0
+    for family in range(3):  # families share words but are not all linked
+        base = list(start)
+        for k in rng.sample(range(120), 2 + 2 * family):
+            base[k] = f"f{family}x{k}"
+        for _ in range(40):  # a chain of edits leads away from each family's first text
+            copy = list(base)
+            copy[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+            texts[i] = " ".join(copy)
+            base, i = (copy if i % 5 == 0 else base), i + 1
+    got = near_dedup.near_duplicates(odd_docs(spark, texts.items()), width=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == helpers.components(texts, 4)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A b"), (None, "a b"), (6, helpers.LONG), (7, helpers.LONG), (7, helpers.LONG), (8, "c")]
     got = near_dedup.near_duplicates(table(spark, rows), width=4).collect()
