@@ -280,11 +280,13 @@ def _confirmed(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, width: in
     small, large = clusters.where(F.col("m") <= BLOCK), clusters.where(F.col("m") > BLOCK)
     fewest = _fewest(percent)
     led = _led(large, nodes, percent, fewest)
-    sure = stored(_linked_to_leader(docs, led, width, percent), "led_links")
+    # the only shuffle of all texts: those of members are read from here on
+    members = stored(docs.join(clusters.select("doc_id"), "doc_id"), "members")
+    sure = stored(_linked_to_leader(members, led, width, percent), "led_links")
     known = sure.select("key", F.col("b").alias("doc_id")).union(led.where("doc_id = leader").select("key", "doc_id")).distinct()
     led = large.join(known.withColumn("joined", F.lit(True)), ["key", "doc_id"], "left")
     led = stored(led.withColumn("joined", F.coalesce("joined", F.lit(False))), "confirmed")
-    rows = docs.join(_with_open(small, led), "doc_id").select("key", "doc_id", "m", "joined", "n_open", "text")
+    rows = members.join(_with_open(small, led), "doc_id").select("key", "doc_id", "m", "joined", "n_open", "text")
 
     def confirm(batches):
         for table in whole_groups(batches, "key", "i", "j"):
