@@ -72,6 +72,19 @@ def l6(spark, sf):
     return classify.comparison(spark, fitted)
 
 
+@check(
+    "l6_stratified_folds",
+    derived_sql(
+        "device_logs",
+        """select category, fold, cast((n + 2 - fold) // 3 as bigint) as n from (select category, count(*) as n from device_logs group by 1),
+  (select unnest([0, 1, 2]) as fold) where n > fold""",
+    ),
+)
+def l6_folds(spark, sf):
+    out = encode.stratified_folds(logs(spark, sf), "category", ["event_id"], 3)
+    return out.groupBy("category", "fold").agg(F.count("*").alias("n"))
+
+
 # a keyword rule stands in for a model: SQL can state it, and it is often wrong
 _RULE_SQL = (
     "ruled",

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsieve.operators import metrics
-from netsieve.operators.encode import stratified_split
+from netsieve.operators.encode import stratified_folds, stratified_split
 
 MODEL_SCHEMA = "model string, accuracy double, cv_mean double, cv_std double"
 
@@ -85,15 +85,14 @@ def cross_validate(est: Estimator, train: DataFrame, folds: int) -> list[float]:
 def train_and_compare(
     df: DataFrame, label: str, key: list[str], models: dict[str, Estimator], folds: int = 3, seed: int = 42
 ) -> tuple[list[Fitted], DataFrame]:
-    """Stratified 80/20 split, k-fold scores on the training part, test accuracy.
+    """Stratified 80/20 split, stratified k-fold scores on the training part, test accuracy.
 
     Returns the fitted models, best first, and the held-out rows.
     """
     rows, _ = index_target(df.na.drop(subset=[label]), label)
     rows = stratified_split(rows, label, key, 0.2, seed).persist(StorageLevel.MEMORY_AND_DISK)
     rows = with_non_negative(rows, rows.where(~F.col("is_test")))
-    hashed = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
-    rows = rows.withColumn("fold", F.pmod(hashed, F.lit(max(folds, 1))).cast("int"))
+    rows = stratified_folds(rows, label, key, folds, seed)
     rows = rows.select("features", "non_negative", "target", label, *key, "is_test", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
     done = []

@@ -137,3 +137,20 @@ def stratified_split(
         .withColumn("is_test", F.col("_before") + F.row_number().over(inside) <= F.col("_quota"))
         .drop("_hash", "_bucket", "_before", "_quota")
     )
+
+
+def stratified_folds(df: DataFrame, label: str, key: list[str], folds: int, seed: int = 42, buckets: int = 4096) -> DataFrame:
+    """Add ``fold`` (0 to ``folds`` - 1): each label is dealt evenly, to one row, over the folds.
+
+    Rows are numbered inside hash buckets of a label, and buckets go on counting where the
+    ones before end, so no window runs over the rows of a whole label.
+    """
+    hashed = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
+    rows = df.withColumn("_hash", hashed).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
+    sizes = rows.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(label, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(label, "_bucket").orderBy("_hash", *key)
+    number = F.col("_before") + F.row_number().over(inside) - 1
+    dealt = rows.join(sizes, [label, "_bucket"]).withColumn("fold", F.pmod(number, F.lit(max(folds, 1))).cast("int"))
+    return dealt.drop("_hash", "_bucket", "_before")

@@ -57,16 +57,13 @@ def cleaning_totals(all_lines: DataFrame) -> DataFrame:
 def duplicates_by_file(parsed: DataFrame) -> DataFrame:
     """Parsed, kept and removed rows per file; the file that sorts first keeps a record.
 
-    Rows shrink to one per (record, file) before anything is shuffled twice.
+    Two aggregates that fold on the map side: no task gathers the files of a record.
     """
-    pairs = parsed.withColumn("_key", content_key()).groupBy("_key", "source_file").agg(_count())
-    owner = F.min("source_file").over(Window.partitionBy("_key"))
-    return (
-        pairs.withColumn("_first", F.col("source_file") == owner)
-        .groupBy("source_file")
-        .agg(F.sum("n").alias("parsed"), F.count_if("_first").alias("kept"))
-        .withColumn("removed", F.col("parsed") - F.col("kept"))
-    )
+    rows = parsed.select(content_key().alias("_key"), "source_file")
+    read = rows.groupBy("source_file").agg(_count().alias("parsed"))
+    kept = rows.groupBy("_key").agg(F.min("source_file").alias("source_file")).groupBy("source_file").agg(_count().alias("kept"))
+    both = read.join(kept, "source_file", "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
+    return both.withColumn("removed", F.col("parsed") - F.col("kept"))
 
 
 # --- distributions ----------------------------------------------------------------
@@ -229,15 +226,12 @@ def insight_report(df: DataFrame, level: str = "level", ts: str = "ts", top_cate
     counts = base.unpivot([], ["severity", "category", "critical"], "section", "name")
     counts = counts.groupBy("section", "name").agg(_count())
     # every input row counts once per section, missing names included: the sum is the row count
-    counts = counts.withColumn("_all", F.sum("n").over(Window.partitionBy("section"))).where("name is not null")
-    rank = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("n"), "name"))
+    # three sections, so three rows to broadcast
+    counts = counts.join(F.broadcast(counts.groupBy("section").agg(F.sum("n").alias("_all"))), "section").where("name is not null")
     share = F.when(F.col("section") != "critical", _percent(F.col("n"), F.col("_all"), 1))
-    shares = (
-        counts.withColumn("_rank", rank)
-        .withColumn("percent", share)
-        .where((F.col("section") != "category") | (F.col("_rank") <= top_categories))
-        .select("section", "name", "n", "percent")
-    )
+    shares = counts.select("section", "name", "n", share.alias("percent"))
+    categories = shares.where("section = 'category'").orderBy(F.desc("n"), "name").limit(top_categories)
+    shares = shares.where("section <> 'category'").unionByName(categories)
     one = df.agg(
         F.date_format(F.min(ts), "yyyy-MM-dd HH:mm:ss").alias("from"),
         F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss").alias("to"),

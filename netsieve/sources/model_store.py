@@ -41,9 +41,13 @@ def load_detector(spark: SparkSession, path: str) -> Detector:
 
 
 def load_or_fit(spark: SparkSession, path: str, fit: Callable[[], Detector]) -> Detector:
+    """The stored detector; only a path without one is fitted and written, other errors pass."""
     try:
-        return load_detector(spark, path)
-    except AnalysisException:  # nothing stored there yet
+        spark.read.text(f"{path}/meta")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         detector = fit()
         save_detector(spark, detector, path)
         return detector
+    return load_detector(spark, path)

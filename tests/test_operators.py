@@ -82,6 +82,17 @@ def test_population_scaler(spark):
     assert (got[:, 1] == 0).all()
 
 
+def test_stratified_folds_are_even(spark):
+    df = spark.range(1000).selectExpr("id as i", "case when id < 2 then 'rare' when id % 3 = 0 then 'a' else 'b' end as c")
+    out = encode.stratified_folds(df, "c", ["i"], 3)
+    sizes = {(r.c, r.fold): r["count"] for r in out.groupBy("c", "fold").count().collect()}
+    for label in ("a", "b"):
+        counts = [sizes[label, f] for f in range(3)]
+        assert max(counts) - min(counts) <= 1
+    assert {k: n for k, n in sizes.items() if k[0] == "rare"} == {("rare", 0): 1, ("rare", 1): 1}
+    assert out.count() == 1000 and out.columns == ["i", "c", "fold"]
+
+
 def test_stratified_split_share(spark):
     df = spark.createDataFrame([(i, "a" if i % 10 else "b") for i in range(1000)], "i int, c string")
     out = encode.stratified_split(df, "c", ["i"])
