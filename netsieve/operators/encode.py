@@ -153,4 +153,4 @@ def stratified_folds(df: DataFrame, label: str, key: list[str], folds: int, seed
     inside = Window.partitionBy(label, "_bucket").orderBy("_hash", *key)
     number = F.col("_before") + F.row_number().over(inside) - 1
     dealt = rows.join(sizes, [label, "_bucket"]).withColumn("fold", F.pmod(number, F.lit(max(folds, 1))).cast("int"))
-    return dealt.drop("_hash", "_bucket", "_before")
+    return dealt.select(*df.columns, "fold")
