@@ -133,12 +133,14 @@ def _scanner(sent, at, again):
 def _hits(automaton, found: list[bytes]) -> tuple[set, set]:
     hits, items = set(), set()
     line = (b" " + b" ".join(found) + b" ").decode("latin-1") if found else ""
-    word, seen, marked = 0, 0, 0
+    word, seen, begin, marked = 0, 0, 0, 0  # all words from begin up to marked are hit
     for end, (n, its) in automaton.iter(line) if len(automaton) else ():
         word += line.count(" ", seen, end)  # words that end before this blank
         seen = end
-        hits.update(range(max(word - n, marked), word) if marked >= word - n else range(word - n, word))
-        marked = max(marked, word)
+        first = word - n
+        hits.update(range(marked if begin <= first <= marked else first, word))
+        begin = begin if begin <= first <= marked else first
+        marked = word
         items.update(its)
     return hits, items - {None}
 

@@ -161,6 +161,16 @@ def test_passages_match_brute_force(spark, monkeypatch, limit):
     assert spans == {52: ["zz,yy... ZZ"], 53: ["qq"], 54: ["zz"]}
 
 
+@pytest.mark.parametrize("limit", [decontaminate.AUTOMATON_BYTES, 60])
+def test_short_items_inside_windows_of_longer_ones(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "AUTOMATON_BYTES", limit)
+    items = [(1, "c d"), (2, "a b c d e f g h i j"), (3, "f"), (4, "h i"), (5, "k l m")]
+    docs = [(1, "a b c d e f g h i j"), (2, "x c d a b c d e f g h i j k l m f"), (3, "b c d e h i j"), (4, "a b c d e f g h i j a b c d e f g h i j")]
+    got = {r.doc_id: r for r in decontaminate.find_passages(table(spark, docs), table(spark, items, "item_id long, text string")).collect()}
+    assert {i: (r.n_words, r.hit_words, r.items) for i, r in got.items()} == passages_by_hand(docs, items)
+    assert got[1].hit_words == list(range(10)) and [(s.begin, s.end) for s in got[1].spans] == [(0, 19)]
+
+
 def test_passages_of_empty_tables(spark):
     docs, items = table(spark, [(1, "a b")], "doc_id long, text string"), table(spark, [], "item_id long, text string")
     assert [(r.n_words, r.hit_words, r.items, r.spans) for r in decontaminate.find_passages(docs, items).collect()] == [(2, [], [], [])]
