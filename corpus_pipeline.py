@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsieve.llm import decontaminate, language, line_dedup, near_dedup, packing
+from netsieve.llm.columns import free_name
 from netsieve.llm.store import stored
 
 
@@ -25,10 +26,13 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near duplicates.
 
-    Documents without an id can't be told apart and stay.
+    Rows are told apart by a stored number, so of rows that repeat an id each is judged by its
+    own text, and of exact repeats one stays; a row without an id gives way to one with an id.
     """
-    gone = near_dedup.near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    row = free_name(docs, "row_id")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    gone = near_dedup.near_duplicates(rows, row_col=row).where("not kept").select(row)
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,17 +24,19 @@ LEADERS = 4  # members of a larger one that are tried as its leader
 SLACK = 5.3
 
 _FACTORS = words.seeds(SIGNATURE, salt=3) | np.uint64(1)
-_SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, sig array<int>"
+_SKETCH = "row_id long, doc_id long, n_shingles long, h1 long, h2 long, sig array<int>"
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, row_col: str | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
     Two documents are linked if 100 * common shingles >= ``percent`` * all shingles of both;
     ``component_id`` is the smallest id within reach over links.
 
+    - Rows are told apart by a number of their own: ``row_col``, a stored column of distinct
+      longs that the result then has first, or else one that is stored here.
     - Equal sets are folded into one class first, so exact copies cost one row each.
     - The forest has 24 orders of the classes, each by the signature from another value on.
       A region is a run of classes with a longest common prefix of at least three values; a
@@ -45,29 +47,36 @@ def near_duplicates(
     - Connected candidates form clusters, whose texts are read again. Pairs in a cluster that
       are not joined yet and whose signatures are close are compared on their full sets.
 
-    Null and empty texts, and texts without words, have an empty set and are linked with
-    nothing. Rows without an id get their class's component, null if none has an id. Rows
-    that repeat an id are judged one by one by their own texts. An empty table gives an
+    Exactly one row of each component is ``kept``: the one with the smallest id, of several
+    with that id or without any the one with the smallest number. Null and empty texts, and
+    texts without words, have an empty set, are linked with nothing and all kept. Rows
+    without an id are linked like others; their component is null if no row of it has an id.
+    Rows that repeat an id are judged one by one by their own texts. An empty table gives an
     empty result. Other columns are neither read nor returned.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    number = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    docs = docs.select(number.alias("row_id"), F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"))
+    docs = stored(docs, "rows") if row_col is None else docs
     sketches = stored(docs.mapInArrow(_sketcher(width), _SKETCH), "sketches")
+    docs = docs.select("row_id", "text")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
     classes = stored(
-        sketches.where("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")),
-        "classes",
+        sketches.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("row_id").alias("rep"), F.min(first).alias("first")), "classes"
     )
-    # classes with one smallest id (an id that repeats with other texts) count as one node
-    nodes = sketches.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").where("n_shingles > 0")
+    nodes = sketches.join(classes.select(F.col("rep").alias("row_id")), "row_id", "left_semi").drop("doc_id")
     clusters = connected_components(_candidates(nodes, percent))
     links = _confirmed(docs, nodes, clusters, width, percent)
     components = connected_components(links).withColumnRenamed("node", "rep")
-    found = classes.join(components, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("found"))
-    component = F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id"))
-    return sketches.join(found, ["h1", "h2"], "left").select(
+    found = classes.join(components, "rep", "left").withColumn("root", F.coalesce("component", "rep"))
+    found = join_spread(found.drop("first"), found.groupBy("root").agg(F.min("first").alias("first")), ["root"], "inner")
+    empty = F.col("n_shingles") == 0
+    rows = sketches.join(found.select("h1", "h2", "first"), ["h1", "h2"], "left")
+    return rows.select(
+        *([F.col("row_id").alias(row_col)] if row_col else []),
         "doc_id",
         "n_shingles",
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        (empty | (F.col("row_id") == F.col("first.row_id"))).alias("kept"),
     )
 
 
@@ -115,12 +124,13 @@ def _sketcher(width: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, n),
+                        batch.column(2).slice(row, n),
                         pa.array(np.diff(offsets).astype(np.int64)),
                         pa.array(_sums(words.mix(values), offsets)),
                         pa.array(_sums(words.mix(values ^ words.seeds(1, salt=4)), offsets)),
                         signatures,
                     ],
-                    ["doc_id", "n_shingles", "h1", "h2", "sig"],
+                    ["row_id", "doc_id", "n_shingles", "h1", "h2", "sig"],
                 )
 
     return sketch
@@ -136,20 +146,20 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` that connect all pairs whose signatures are close within a region."""
     orders = range(SIGNATURE // STEP)
     keys = F.array(*[F.struct(_prefix(t, SHALLOW).alias("key"), _prefix(t, DEEP).alias("deep")) for t in orders])
-    rows = nodes.select("doc_id", F.explode(keys).alias("k")).select("doc_id", "k.key", "k.deep")
+    rows = nodes.select("row_id", F.explode(keys).alias("k")).select("row_id", "k.key", "k.deep")
     sizes = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     shared = stored(rows.join(sizes, "key"), "regions")
-    crowded = shared.where(F.col("m") > BLOCK).select("doc_id", F.col("deep").alias("key"))
+    crowded = shared.where(F.col("m") > BLOCK).select("row_id", F.col("deep").alias("key"))
     deep_sizes = crowded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    deep = stored(join_spread(crowded, deep_sizes, ["key"], "inner").select("key", "doc_id", "m"), "crowded")
-    small = shared.select("key", "doc_id", "m").union(deep).where(F.col("m") <= BLOCK)
+    deep = stored(join_spread(crowded, deep_sizes, ["key"], "inner").select("key", "row_id", "m"), "crowded")
+    small = shared.select("key", "row_id", "m").union(deep).where(F.col("m") <= BLOCK)
     fewest = _fewest(percent)
     led = _led(deep.where(F.col("m") > BLOCK), nodes, percent, fewest)
-    rows = _with_open(small, led).join(nodes.select("doc_id", "n_shingles", "sig"), "doc_id")
+    rows = _with_open(small, led).join(nodes.select("row_id", "n_shingles", "sig"), "row_id")
 
     def compare(batches):
         for table in whole_groups(batches, "key", "i", "j"):
-            ids = table["doc_id"].to_numpy()
+            ids = table["row_id"].to_numpy()
             sizes = table["n_shingles"].to_numpy()
             signatures = table["sig"].combine_chunks().flatten().to_numpy().reshape(-1, SIGNATURE)
 
@@ -160,17 +170,17 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids[p]), pa.array(ids[q])], ["a", "b"])
 
     links = _by_blocks(rows, "key").mapInArrow(compare, "a long, b long")
-    return links.union(led.where("joined and doc_id <> leader").select("leader", "doc_id"))
+    return links.union(led.where("joined and row_id <> leader").select("leader", "row_id"))
 
 
 def _led(rows: DataFrame, nodes: DataFrame, percent: int, fewest: int) -> DataFrame:
-    """``key, doc_id, m, leader, joined``: the leader of each group and who is close to it.
+    """``key, row_id, m, leader, joined``: the leader of each group and who is close to it.
 
     Of ``LEADERS`` members drawn by hash the one leads that has the most members close to it.
     """
-    rows = rows.join(nodes.select("doc_id", "n_shingles", "sig"), "doc_id")
-    member = F.struct("doc_id", "n_shingles", "sig")
-    drawn = F.array(*[F.min_by(member, F.xxhash64(F.lit(t), "doc_id")) for t in range(LEADERS)])
+    rows = rows.join(nodes.select("row_id", "n_shingles", "sig"), "row_id")
+    member = F.struct("row_id", "n_shingles", "sig")
+    drawn = F.array(*[F.min_by(member, F.xxhash64(F.lit(t), "row_id")) for t in range(LEADERS)])
     rows = join_spread(rows, rows.groupBy("key").agg(drawn.alias("drawn")), ["key"], "inner")
 
     def near(other):
@@ -178,13 +188,13 @@ def _led(rows: DataFrame, nodes: DataFrame, percent: int, fewest: int) -> DataFr
         sizes = F.least("n_shingles", other["n_shingles"]) * 100 >= F.greatest("n_shingles", other["n_shingles"]) * percent
         return sizes & alike
 
-    rows = rows.select("key", "doc_id", "m", F.col("drawn.doc_id").alias("drawn"), F.transform("drawn", near).alias("near"))
+    rows = rows.select("key", "row_id", "m", F.col("drawn.row_id").alias("drawn"), F.transform("drawn", near).alias("near"))
     rows = stored(rows, "led")
     counts = [F.struct(F.count_if(F.col("near")[t]).alias("n"), F.lit(t).alias("t")) for t in range(LEADERS)]
     best = rows.groupBy("key").agg(F.greatest(*counts)["t"].alias("best"))
     rows = join_spread(rows, best, ["key"], "inner")
     leader = F.col("drawn")[F.col("best")]
-    return rows.select("key", "doc_id", "m", leader.alias("leader"), (F.col("near")[F.col("best")] | (F.col("doc_id") == leader)).alias("joined"))
+    return rows.select("key", "row_id", "m", leader.alias("leader"), (F.col("near")[F.col("best")] | (F.col("row_id") == leader)).alias("joined"))
 
 
 def _with_open(small: DataFrame, led: DataFrame) -> DataFrame:
@@ -193,8 +203,8 @@ def _with_open(small: DataFrame, led: DataFrame) -> DataFrame:
     Groups that their leader joins as a whole have nothing left to compare.
     """
     still = led.groupBy("key").agg(F.count_if(~F.col("joined")).alias("n_open")).where("n_open > 0")
-    rest = join_spread(led, still, ["key"], "inner").select("key", "doc_id", "m", "joined", "n_open")
-    return small.select("key", "doc_id", "m", F.lit(False).alias("joined"), F.col("m").alias("n_open")).union(rest)
+    rest = join_spread(led, still, ["key"], "inner").select("key", "row_id", "m", "joined", "n_open")
+    return small.select("key", "row_id", "m", F.lit(False).alias("joined"), F.col("m").alias("n_open")).union(rest)
 
 
 def _by_blocks(rows: DataFrame, key: str) -> DataFrame:
@@ -206,12 +216,12 @@ def _by_blocks(rows: DataFrame, key: str) -> DataFrame:
     """
     n_open = F.ceil(F.col("n_open") / F.lit(BLOCK)).cast("int")
     n_joined = F.ceil((F.col("m") - F.col("n_open")) / F.lit(BLOCK)).cast("int")
-    at = F.xxhash64("doc_id")
+    at = F.xxhash64("row_id")
     own = F.when(F.col("joined"), n_open + F.pmod(at, F.greatest(n_joined, F.lit(1)))).otherwise(F.pmod(at, n_open)).cast("int")
     last = n_open - 1 + F.when(F.col("joined"), 0).otherwise(n_joined)
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    return rows.drop("m", "n_open", "own", "other").repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "doc_id")
+    return rows.drop("m", "n_open", "own", "other").repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "row_id")
 
 
 def _codes(table: pa.Table, *keys: str) -> np.ndarray:
@@ -275,22 +285,22 @@ def _root(part: np.ndarray, x: int) -> int:
 
 def _confirmed(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, width: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` that hold on full sets and connect each component."""
-    clusters = clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("key"))
+    clusters = clusters.select(F.col("node").alias("row_id"), F.col("component").alias("key"))
     clusters = stored(join_spread(clusters, clusters.groupBy("key").agg(F.count("*").alias("m")), ["key"], "inner"), "clusters")
     small, large = clusters.where(F.col("m") <= BLOCK), clusters.where(F.col("m") > BLOCK)
     fewest = _fewest(percent)
     led = _led(large, nodes, percent, fewest)
     # the only shuffle of all texts: those of members are read from here on
-    members = stored(docs.join(clusters.select("doc_id"), "doc_id"), "members")
+    members = stored(docs.join(clusters.select("row_id"), "row_id"), "members")
     sure = stored(_linked_to_leader(members, led, width, percent), "led_links")
-    known = sure.select("key", F.col("b").alias("doc_id")).union(led.where("doc_id = leader").select("key", "doc_id")).distinct()
-    led = large.join(known.withColumn("joined", F.lit(True)), ["key", "doc_id"], "left")
+    known = sure.select("key", F.col("b").alias("row_id")).union(led.where("row_id = leader").select("key", "row_id")).distinct()
+    led = large.join(known.withColumn("joined", F.lit(True)), ["key", "row_id"], "left")
     led = stored(led.withColumn("joined", F.coalesce("joined", F.lit(False))), "confirmed")
-    rows = members.join(_with_open(small, led), "doc_id").select("key", "doc_id", "m", "joined", "n_open", "text")
+    rows = members.join(_with_open(small, led), "row_id").select("key", "row_id", "m", "joined", "n_open", "text")
 
     def confirm(batches):
         for table in whole_groups(batches, "key", "i", "j"):
-            ids = table["doc_id"].to_numpy()
+            ids = table["row_id"].to_numpy()
             sets, signatures = [], []
             for _, values, offsets in _sets(table["text"], width):
                 sets += np.split(values, offsets[1:-1])
@@ -316,14 +326,14 @@ def _linked_to_leader(docs: DataFrame, led: DataFrame, width: int, percent: int)
     Members are dealt over blocks of about ``BLOCK``; the leader goes to all of them.
     """
     blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-    leads = F.col("doc_id") == F.col("leader")
-    block = F.when(leads, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), blocks).cast("int")))
-    dealt = led.where("joined").select("key", "doc_id", leads.alias("leads"), F.explode(block).alias("block"))
-    rows = docs.join(dealt, "doc_id").select("key", "doc_id", "leads", "block", "text")
+    leads = F.col("row_id") == F.col("leader")
+    block = F.when(leads, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("row_id"), blocks).cast("int")))
+    dealt = led.where("joined").select("key", "row_id", leads.alias("leads"), F.explode(block).alias("block"))
+    rows = docs.join(dealt, "row_id").select("key", "row_id", "leads", "block", "text")
 
     def confirm(batches):
         for table in whole_groups(batches, "key", "block"):
-            keys, ids, leads = (table[c].to_pylist() for c in ("key", "doc_id", "leads"))
+            keys, ids, leads = (table[c].to_pylist() for c in ("key", "row_id", "leads"))
             at, found, leaders = 0, [], []
             codes = _codes(table, "key", "block")
             for _, values, offsets in _sets(table["text"], width):

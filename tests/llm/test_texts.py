@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from netsieve.llm import decontaminate, language, line_dedup, near_dedup, packing, resampling, words
 from netsieve.llm.components import connected_components
 
@@ -106,6 +107,26 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dedup.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_near_duplicates_judge_rows_that_repeat_an_id(spark):
+    base = " ".join(f"w{i}" for i in range(100))
+    near, other = base.replace("w99", "x"), " ".join(f"v{i}" for i in range(50))
+    rows = [(3, base), (5, near), (5, other), (5, other), (None, other + " z"), (None, "p q"), (None, "p q"), (9, None), (9, None)]
+    got = near_dedup.near_duplicates(table(spark, rows), width=4).collect()
+    found = sorted((r.component_id or -1, r.doc_id or -1, r.n_shingles, r.kept) for r in got)
+    assert found == [(-1, -1, 1, False), (-1, -1, 1, True), (3, 3, 97, True), (3, 5, 97, False), (5, -1, 48, False), (5, 5, 47, False), (5, 5, 47, True), (9, 9, 0, True), (9, 9, 0, True)]
+
+
+def test_near_dedup_stage_keeps_one_row_of_each_group(spark):
+    base = " ".join(f"w{i}" for i in range(100))
+    near, other, third = base.replace("w99", "x"), " ".join(f"v{i}" for i in range(50)), "p q r s t"
+    rows = [(3, base, 1), (5, near, 2), (5, other, 3), (7, third, 4), (7, third, 5), (None, third, 6), (None, "u", 7), (None, "u", 8), (8, None, 9)]
+    docs = table(spark, rows, "doc_id long, text string, row_id int")
+    got = corpus_pipeline.near_dedup_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted((r.doc_id or -1, r.text) for r in got.collect())
+    assert kept == [(-1, "u"), (3, base), (5, other), (7, third), (8, None)]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(9, 9)]
     got = {r.node: r.component for r in connected_components(table(spark, links, "a long, b long")).collect()}
