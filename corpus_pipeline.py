@@ -11,9 +11,11 @@ from netsieve.llm.store import stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those without text or letters go."""
-    model = language.fit_languages(docs)
-    return language.predict_languages(docs, model).where("lang_pred != 'und'").select(*docs.columns)
+    """Documents in which a language is found; those without text or letters go.
+
+    Those of which the filters know no n-gram go too, unless no language was learned.
+    """
+    return language.drop_unrecognised(docs, language.fit_languages(docs))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsieve.llm import words
-from netsieve.llm.columns import add_columns, position
+from netsieve.llm.columns import add_columns, free_name, position
 
 GRAMS = (3, 4, 5)  # bytes
 SAMPLE = 4000  # labelled texts a language that a model learns from, in expectation
@@ -52,8 +52,29 @@ class LanguageModel:
         """Language and score of each text of an Arrow column."""
         if not self.languages:
             return ["und"] * len(column), np.zeros(len(column))
-        lettered = pc.fill_null(pc.match_substring_regex(column, r"\pL"), False).to_numpy(zero_copy_only=False)
-        best, score = np.zeros(len(column), dtype=np.int64), np.zeros(len(column))
+        lettered = _lettered(column)
+        best, score, _ = self._count(column)
+        names = [self.languages[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)]
+        return names, np.where(lettered, np.clip(score, 0, 1), 0.0)
+
+    def recognise(self, column, labels: list[str | None]) -> np.ndarray:
+        """Whether a language is found in each text, or at least can't be denied.
+
+        It is denied to texts without letters and to those whose n-grams are all unknown. Where
+        the filters hold nothing to compare with (no n-gram at all, or none of the text's own
+        label) and in texts too short for an n-gram, letters are enough.
+        """
+        lettered = _lettered(column)
+        held = {x for x, rate in zip(self.languages, self.false_rate, strict=True) if rate > 0}
+        if not held:
+            return lettered
+        _, score, total = self._count(column)
+        unheld = np.array([x is not None and x not in held for x in labels], dtype=bool)
+        return lettered & ((score > 0) | (total == 0) | unheld)
+
+    def _count(self, column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the best language, its score and the number of n-grams of each text."""
+        best, score, grams_of = (np.zeros(len(column), dtype=t) for t in (np.int64, np.float64, np.int64))
         for row, data, offsets in words.slices(pc.utf8_lower(column)):
             n = len(offsets) - 1
             counts, total = np.zeros((n, len(self.languages))), np.zeros(n)
@@ -69,8 +90,12 @@ class LanguageModel:
             counts = np.maximum(counts - total[:, None] * self.false_rate, 0) / (1 - self.false_rate)
             best[row : row + n] = np.where(counts.any(axis=1), counts.argmax(axis=1), self.usual)
             score[row : row + n] = counts.max(axis=1) / np.maximum(counts.sum(axis=1), 1e-9)
-        names = [self.languages[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)]
-        return names, np.where(lettered, np.clip(score, 0, 1), 0.0)
+            grams_of[row : row + n] = total
+        return best, score, grams_of
+
+
+def _lettered(column) -> np.ndarray:
+    return pc.fill_null(pc.match_substring_regex(column, r"\pL"), False).to_numpy(zero_copy_only=False)
 
 
 def _slots(grams):
@@ -167,3 +192,18 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
         return [pa.array(names, pa.string()), pa.array(score, pa.float64())]
 
     return add_columns(docs, predict, "lang_pred string, score double")
+
+
+def drop_unrecognised(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` without the rows in whose text the model finds no language."""
+    spark: SparkSession = docs.sparkSession
+    sent = spark.sparkContext.broadcast((model.languages, model.masks, model.usual))
+    text, label, found = position(docs, text_col), position(docs, lang_col), free_name(docs, "found")
+    loaded: list[LanguageModel] = []
+
+    def recognise(batch):
+        if not loaded:
+            loaded.append(LanguageModel(*sent.value))
+        return [pa.array(loaded[0].recognise(batch.column(text), batch.column(label).to_pylist()), pa.bool_())]
+
+    return add_columns(docs, recognise, f"{found} boolean").where(found).select(*docs.columns)

@@ -219,6 +219,16 @@ def test_language_without_labels_or_rows(spark):
     assert language.predict_languages(docs.limit(0), model).count() == 0
 
 
+def test_language_stage_keeps_unlabelled_and_rejects_unknown_texts(spark):
+    schema = "doc_id long, text string, lang string, FOUND int"
+    run = lambda rows: sorted(r.doc_id for r in corpus_pipeline.language_id(spark, table(spark, rows, schema), "").collect())
+    bare = [(1, "plain words", None, 0), (2, "12 - 3", None, 0), (3, None, None, 0), (4, "hi", None, 0)]
+    assert run(bare) == [1, 4]
+    labelled = [(k, "the cat and the dog sat on the mat", "en", 0) for k in range(10, 15)] + [(20, "zq xj vk", "zz", 0)]
+    unknown = [(30, "\u0449\u0448\u0433 \u044a\u044b\u044d", None, 0), (31, "qzxjk vbwpm", "en", 0), (32, "that cat", None, 0)]
+    assert run(bare + labelled + unknown) == [4, *range(10, 15), 20, 32]
+
+
 def test_filters_hold_all_languages_and_few_more():
     rng = np.random.default_rng(1)
     grams, owners = rng.integers(0, 1 << 62, 30_000).astype(np.uint64), np.arange(30_000) % 70
