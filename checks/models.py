@@ -60,7 +60,7 @@ def _model_check(key, name, **settings):
 
 
 _model_check("l1_random_forest", "Random Forest")
-_model_check("l2_gradient_boosting", "Gradient Boosting", rounds=10)
+_model_check("l2_gradient_boosting", "Gradient Boosting")
 _model_check("l3_logistic_regression", "Logistic Regression")
 _model_check("l4_support_vectors", "Support Vector Machine")
 _model_check("l5_naive_bayes", "Naive Bayes")
@@ -68,7 +68,7 @@ _model_check("l5_naive_bayes", "Naive Bayes")
 
 @check("l6_l7_cross_validated_comparison")
 def l6(spark, sf):
-    fitted, _ = _train(spark, sf, ["Random Forest", "Logistic Regression", "Naive Bayes"], folds=3)
+    fitted, _ = _train(spark, sf, list(classify.estimators()), folds=3)
     return classify.comparison(spark, fitted)
 
 
@@ -586,16 +586,15 @@ def a6(spark, sf):
 
 @check("a13_classification_results")
 def a13(spark, sf):
-    fitted, _ = _train(spark, sf, ["Random Forest", "Naive Bayes"])
+    fitted, _ = _train(spark, sf, list(classify.estimators()), folds=3)
     names = classify.feature_names(classifier_rows(spark, sf))
-    forest = next(m.model for m in fitted if m.name == "Random Forest")
     path = f"{scratch(spark)}/results"
     writers.write_metrics_json(
         {
             "model_performance": classify.comparison(spark, fitted),
-            "feature_importance": classify.importances(spark, forest, names),
+            "feature_importance": classify.all_importances(spark, fitted, names),
             "data_insights": profile.class_distribution(cleaned(spark, sf), "event_category"),
         },
         path,
     )
-    return spark.read.json(f"{path}/model_performance")
+    return readers.read_metrics_json(spark, path, ["model_performance", "feature_importance", "data_insights"])

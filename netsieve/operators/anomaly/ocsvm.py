@@ -1,9 +1,11 @@
 """One-class support vector machine with an RBF kernel, at linear cost.
 
 Random Fourier features (Rahimi & Recht 2007) make the kernel a dot product. The
-one-class problem is then solved by Frank-Wolfe steps: its linear step puts equal
-weight on the nu-share of rows with the lowest score, so an iteration is one pass
-that sums feature vectors by score bin.
+one-class problem is then solved by fully corrective Frank-Wolfe steps: the linear
+step puts equal weight on the nu-share of rows with the lowest score, so an iteration
+is one pass that sums feature vectors by score bin, and the weights are the shortest
+mixture of all sums so far. It ends when the duality gap, as far as the bins tell it,
+is at most ``tolerance`` times the squared length of the weights.
 """
 
 from __future__ import annotations
@@ -102,17 +104,35 @@ def _bin_sums(df: DataFrame, features: str, proj, phase, weights, edges) -> tupl
     return counts, sums
 
 
+def _shortest_mixture(points: np.ndarray) -> np.ndarray:
+    """The point nearest to zero in the hull of a few points, by pairwise steps."""
+    gram = points @ points.T
+    share = np.zeros(len(points))
+    share[gram.diagonal().argmin()] = 1.0
+    for _ in range(100_000):
+        slope = gram @ share
+        low, high = slope.argmin(), np.where(share > 0, slope, -np.inf).argmax()
+        drop = slope[high] - slope[low]
+        bend = gram[low, low] - 2 * gram[low, high] + gram[high, high]
+        if drop <= 1e-9 * (share @ slope) or bend <= 0:
+            break
+        step = min(share[high], drop / bend)
+        share[low] += step
+        share[high] -= step
+    return share @ points
+
+
 def fit_one_class_svm(
     df: DataFrame, features: str, nu: float = 0.05, gamma: float | None = None, width: int = 200,
-    iterations: int = 10, seed: int = 42,
+    tolerance: float = 0.01, seed: int = 42,
 ) -> OneClassSVM:
     gamma = scale_gamma(df, features) if gamma is None else gamma
     d = len(df.select(features).first()[0])
     rng = np.random.default_rng(seed)
     proj = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(d, width))
     phase = rng.uniform(0.0, 2.0 * np.pi, size=width)
-    weights = np.zeros(width)
-    for step in range(iterations):
+    weights, sums_so_far = np.zeros(width), np.zeros((0, width))
+    while True:
         # a similarity is at most sqrt(2) times the length of the weights
         reach = np.sqrt(2.0) * np.linalg.norm(weights)
         edges = np.linspace(-reach, reach, BINS - 1) if reach > 0 else np.array([])
@@ -125,8 +145,10 @@ def fit_one_class_svm(
                 target += share * total
                 taken += share * n
         target /= taken
-        rate = 2.0 / (step + 2.0)
-        weights = (1 - rate) * weights + rate * target
+        if len(sums_so_far) and weights @ (weights - target) <= tolerance * (weights @ weights):
+            break
+        sums_so_far = np.vstack([sums_so_far, target])
+        weights = _shortest_mixture(sums_so_far)
     model = OneClassSVM(proj, phase, weights)
     scores = model.score(df.select(features), features).select((-F.col("one_class_svm_score")).alias("s"))
     model.rho = exact_quantile(scores, "s", nu)

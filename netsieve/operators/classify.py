@@ -124,6 +124,17 @@ def importances(spark, model, names: list[str], top: int | None = None) -> DataF
     return spark.createDataFrame([(names[i], float(values[i])) for i in order], "feature string, importance double")
 
 
+def all_importances(spark, fitted: list[Fitted], names: list[str]) -> DataFrame:
+    """``model, feature, importance`` of every tree model; one against the rest takes the mean."""
+    rows = []
+    for m in fitted:
+        parts = [p for p in getattr(m.model, "models", [m.model]) if hasattr(p, "featureImportances")]
+        if parts:
+            values = np.mean([p.featureImportances.toArray() for p in parts], axis=0)
+            rows += [(m.name, n, float(v)) for v, n in sorted(zip(values, names, strict=True), key=lambda x: (-x[0], x[1]))]
+    return spark.createDataFrame(rows, "model string, feature string, importance double")
+
+
 # --- text classifiers -------------------------------------------------------------
 
 

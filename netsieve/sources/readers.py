@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +41,9 @@ def read_cleaned_json(spark: SparkSession, path: str, multiline: bool = False) -
     """Cleaned records; columns a file lacks come back as typed nulls."""
     reader = spark.read.schema(schema.CLEANED).option("multiLine", multiline)
     return reader.json(path)
+
+
+def read_metrics_json(spark: SparkSession, folder: str, parts: list[str]) -> DataFrame:
+    """All parts of classification results in one table, each row with the ``part`` it is of."""
+    frames = [spark.read.json(f"{folder}/{p}").select(F.lit(p).alias("part"), "*") for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
