@@ -47,10 +47,14 @@ def find_passages(
     at = position(docs, text_col)
     none = lambda batch: _nothing(batch, at)
     result = add_columns(docs, none, _ADDED)
-    parts = _parts(items, item_id_col, item_text_col, width)
-    for k, part in enumerate(parts):
-        sent = docs.sparkSession.sparkContext.broadcast(part)
-        result = add_columns(stored(result, "scanned") if k else docs, _scanner(sent, at, k), _ADDED)
+    windows, n = _dealt(items, item_id_col, item_text_col, width)
+    for k in range(n):
+        if k:
+            result = stored(result, "scanned")
+            sent.unpersist()
+            del sent  # the driver holds one part at a time
+        sent = docs.sparkSession.sparkContext.broadcast(_part(windows, k))
+        result = add_columns(result if k else docs, _scanner(sent, at, k), _ADDED)
     return result
 
 
@@ -70,14 +74,19 @@ def _windows(width):
     return run
 
 
-def _parts(items, id_col, text_col, width) -> list[list[tuple[bytes, str | None]]]:
-    """The distinct windows with their items, in lists of bounded size."""
+def _dealt(items, id_col, text_col, width) -> tuple[DataFrame, int]:
+    """The distinct windows with their items, each with its part, and the number of parts."""
     rows = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
     rows = stored(rows.mapInArrow(_windows(width), "window binary, item string").distinct(), "windows")
     size = rows.agg(F.sum(F.length("window") + 24)).first()[0] or 0
     n = -(-size // AUTOMATON_BYTES)
     part = F.pmod(F.xxhash64("window", "item"), F.lit(max(n, 1)))
-    return [[tuple(r) for r in rows.where(part == k).collect()] for k in range(n)]
+    return rows.withColumn("part", part), n
+
+
+def _part(windows: DataFrame, k: int) -> list[tuple[bytes, str | None]]:
+    """One part, of bounded size, on the driver."""
+    return [tuple(r) for r in windows.where(F.col("part") == k).select("window", "item").collect()]
 
 
 def _automaton(sent, key):

@@ -192,6 +192,18 @@ def test_short_items_inside_windows_of_longer_ones(spark, monkeypatch, limit):
     assert got[1].hit_words == list(range(10)) and [(s.begin, s.end) for s in got[1].spans] == [(0, 19)]
 
 
+def test_parts_of_a_benchmark_are_collected_one_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "AUTOMATON_BYTES", 60)
+    done, part, store = [], decontaminate._part, decontaminate.stored
+    monkeypatch.setattr(decontaminate, "_part", lambda windows, k: done.append("part") or part(windows, k))
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: done.append(name) or store(df, name))
+    items = [(k, f"{x} {x}") for k, x in enumerate("abcd")]
+    got = decontaminate.find_passages(table(spark, [(1, "a a b b c d d")]), table(spark, items, "item_id long, text string")).collect()
+    assert [(r.hit_words, r.items) for r in got] == [([0, 1, 2, 3, 5, 6], ["0", "1", "3"])]
+    n = done.count("part")
+    assert n > 1 and done == ["windows", "part"] + ["scanned", "part"] * (n - 1)
+
+
 def test_passages_of_empty_tables(spark):
     docs, items = table(spark, [(1, "a b")], "doc_id long, text string"), table(spark, [], "item_id long, text string")
     assert [(r.n_words, r.hit_words, r.items, r.spans) for r in decontaminate.find_passages(docs, items).collect()] == [(2, [], [], [])]
