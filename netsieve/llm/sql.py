@@ -96,3 +96,41 @@ WITH s AS (
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 20
 """
+
+# CRC-32 of a decimal id, bit by bit.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+  lambda s, d: list_reduce(list_concat([xor(s, d)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda v, z: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT)"""
+
+OP12 = """
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32)) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+h AS (SELECT c, c - c % 5 AS b, """ + _CRC + """ % 9 AS h FROM n),
+r AS (
+  SELECT h.c, pos, role, text FROM h JOIN t ON t.c = h.b AND pos < h.h
+  UNION ALL
+  SELECT h.c, pos - h.h + least(h.h, coalesce(b.n, 0)), role, text FROM h JOIN t ON t.c = h.c AND pos >= h.h LEFT JOIN n b ON b.c = h.b
+), p AS (
+  SELECT c, 0 AS d, '' AS key, 0 AS bytes FROM h
+  UNION ALL
+  SELECT c, pos + 1, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY pos)),
+    octet_length(encode(text)) FROM r
+), node AS (SELECT key, min(c) AS c, min(d) AS d, count(*) AS n, min(bytes) AS bytes FROM p GROUP BY key),
+own AS (SELECT node.*, p.key AS above FROM node LEFT JOIN p ON p.c = node.c AND p.d = node.d - 1),
+kids AS (SELECT above AS key, count(*) AS k FROM own WHERE above IS NOT NULL GROUP BY above),
+sums AS (
+  SELECT p.key, sum(CASE WHEN k IS NULL THEN 1 ELSE 0 END) AS leaves, sum((node.n - 1) * node.bytes) AS saved
+  FROM node LEFT JOIN kids ON kids.key = node.key JOIN p ON p.c = node.c AND p.d <= node.d GROUP BY p.key
+), ends AS (
+  SELECT key, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS e
+  FROM (SELECT c, key, row_number() OVER (PARTITION BY c ORDER BY d DESC) AS k FROM p) WHERE k = 1 GROUP BY key
+)
+SELECT own.c AS conv_id, own.d AS depth, up.c AS parent_conv_id, own.n AS n_convs, coalesce(k, 0) AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, coalesce(e, sha256('')) AS ends_sha256
+FROM own LEFT JOIN node up ON up.key = own.above LEFT JOIN kids ON kids.key = own.key JOIN sums ON sums.key = own.key
+  LEFT JOIN ends ON ends.key = own.key
+"""
