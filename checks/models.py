@@ -49,7 +49,8 @@ def classifier_rows(spark, sf, exclude_rule_flags=False):
 def _train(spark, sf, names, folds=1, **settings):
     chosen = classify.estimators(**settings)
     rows = classifier_rows(spark, sf)
-    return classify.train_and_compare(rows, "event_category", ["line_no"], {n: chosen[n] for n in names}, folds)
+    fitted, _ = classify.train_and_compare(rows, "event_category", ["line_no"], {n: chosen[n] for n in names}, folds)
+    return fitted, classify.feature_names(rows)
 
 
 def _model_check(key, name, **settings):
@@ -586,8 +587,7 @@ def a6(spark, sf):
 
 @check("a13_classification_results")
 def a13(spark, sf):
-    fitted, _ = _train(spark, sf, list(classify.estimators()), folds=3)
-    names = classify.feature_names(classifier_rows(spark, sf))
+    fitted, names = _train(spark, sf, list(classify.estimators()), folds=3)
     path = f"{scratch(spark)}/results"
     writers.write_metrics_json(
         {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +53,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class Scratch:
+    """Tables of one job in the shared checkpoint folder, deleted when the job leaves the scope."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/netsieve-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
+
+    def store(self, df: DataFrame) -> DataFrame:
+        """``df`` written as Parquet and read back; what a lost executor has to redo ends here."""
+        path = f"{self.folder}/table-{len(self.tables)}"
+        df.write.parquet(path)
+        self.tables.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

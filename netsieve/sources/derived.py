@@ -114,9 +114,8 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table that sits in fewer files than there are cores."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    """``df`` dealt over as many parts as a shuffle has."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
