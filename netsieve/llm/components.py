@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsieve.llm.store import stored
+from netsieve.operators.skew import join_spread
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,8 +15,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     ``component`` is the smallest node within reach. Large-star and small-star steps take
     turns (Kiveris et al., "Connected Components in MapReduce and Beyond"): each keeps the
     components and pulls nodes towards their smallest neighbour, until every link leads
-    there. A node with very many links is folded before the shuffle by the minimum; the join
-    back is one that Spark splits when it is skewed.
+    there. A node with very many links is folded before the shuffle by the minimum, and its links
+    are spread over tasks in the join back.
     """
     links = stored(
         links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links"
@@ -36,10 +37,10 @@ def _state(links):
 def _large_star(links):
     both = links.union(links.select("v", "u"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return join_spread(both, least, ["u"], "inner").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links):
     least = links.groupBy("u").agg(F.min("v").alias("m"))
-    pulled = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+    pulled = join_spread(links, least, ["u"], "inner").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
     return pulled.union(least.select("u", "m")).distinct()

@@ -5,18 +5,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netsieve.llm import words
 from netsieve.llm.columns import add_columns, free_name, position
+from netsieve.llm.store import stored
 
 GRAMS = (3, 4, 5)  # bytes
 SAMPLE = 4000  # labelled texts a language that a model learns from, in expectation
-LANGUAGES = 256  # languages that a model can hold, the most frequent ones
-PER_LANGUAGE = 50_000  # n-grams that a language keeps
 SHARE = 0.5  # an n-gram belongs to a language if it is at least this often as in the best one
-SLOTS = 1 << 20
+LOAD = 16  # slots for each n-gram of the language with the most, at least
+FEWEST = 1 << 16  # slots of the smallest filter
 PROBES = 4
 
 # Bytes of words: letters in lower case and everything beyond ASCII.
@@ -42,9 +42,13 @@ class LanguageModel:
 
     @classmethod
     def build(cls, languages: list[str], grams: np.ndarray, owners: np.ndarray, usual: int = 0) -> LanguageModel:
-        """``grams`` (64-bit hashes) with the number of the language that each belongs to."""
-        masks = np.zeros((SLOTS, max(-(-len(languages) // 64), 1)), dtype=np.uint64)
-        for slot in _slots(grams):
+        """``grams`` (64-bit hashes) with the number of the language that each belongs to.
+
+        The number of slots is a power of two that follows the language with the most n-grams.
+        """
+        most = int(np.bincount(owners, minlength=1).max())
+        masks = np.zeros((max(1 << (LOAD * most).bit_length(), FEWEST), max(-(-len(languages) // 64), 1)), dtype=np.uint64)
+        for slot in _slots(grams, len(masks)):
             np.bitwise_or.at(masks, (slot, owners // 64), np.uint64(1) << (owners % 64).astype(np.uint64))
         return cls(languages, masks, usual)
 
@@ -81,7 +85,7 @@ class LanguageModel:
             for texts, grams in _grams(data, offsets):
                 total += np.bincount(texts, minlength=n)
                 mask = None
-                for slot in _slots(grams):
+                for slot in _slots(grams, len(self.masks)):
                     mask = self.masks[slot] if mask is None else mask & self.masks[slot]
                 for k in range(len(self.languages)):
                     claimed = (mask[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)
@@ -98,9 +102,11 @@ def _lettered(column) -> np.ndarray:
     return pc.fill_null(pc.match_substring_regex(column, r"\pL"), False).to_numpy(zero_copy_only=False)
 
 
-def _slots(grams):
+def _slots(grams, n):
+    """The probes of each n-gram among ``n`` slots, a power of two."""
+    shift = np.uint64(65 - int(n).bit_length())
     for seed in _PROBE_SEEDS:
-        yield (((grams ^ seed) * (seed | np.uint64(1))) >> np.uint64(44)).astype(np.int64)
+        yield (((grams ^ seed) * (seed | np.uint64(1))) >> shift).astype(np.int64)
 
 
 def _grams(data, offsets):
@@ -130,24 +136,27 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """Learn from the rows of ``docs`` that have a language and a text.
 
     The model learns from about ``SAMPLE`` texts a language, drawn by the hash of
-    ``key_col``, for the ``LANGUAGES`` most frequent languages: a documented bound that keeps
-    the n-grams on the driver to ``PER_LANGUAGE`` a language. An n-gram belongs to every
-    language where its share of all n-grams is at least ``SHARE`` of its largest share in any.
-    Without labelled rows the model knows no language and answers ``und``.
+    ``key_col``: a documented bound on labelled rows, and the only one. All languages are
+    learned, and every n-gram that the sample has twice belongs to each language where its
+    share of all n-grams is at least ``SHARE`` of its largest share in any; the filter grows
+    with them. Without labelled rows the model knows no language and answers ``und``. Of
+    languages that are equally frequent the first by name decides where no n-gram is known.
+    Repeated rows count as often as they occur, an empty table gives a model without languages.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(key_col)).alias("h"))
     rows = rows.where("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()  # a row a language
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
-        return LanguageModel([], np.zeros((SLOTS, 1), dtype=np.uint64))
+        return LanguageModel([], np.zeros((2, 1), dtype=np.uint64))
     number = {x: k for k, x in enumerate(languages)}
-    drawn = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(SAMPLE / r["n"], 1.0))])[F.col("lang")]
-    sample = rows.where(F.pmod("h", F.lit(1 << 20)) < drawn * (1 << 20)).select("text", "lang")
+    known = [(r["lang"], number[r["lang"]], min(SAMPLE / r["n"], 1.0)) for r in sizes]
+    known = F.broadcast(docs.sparkSession.createDataFrame(known, "lang string, code int, share double"))
+    sample = rows.join(known, "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("text", "code")
 
     def count(batches):
         for batch in batches:
-            codes = np.array([number[x] for x in batch.column(1).to_pylist()], dtype=np.int64)
+            codes = batch.column(1).to_numpy().astype(np.int64)
             for row, data, offsets in words.slices(pc.utf8_lower(batch.column(0))):
                 for texts, grams in _grams(data, offsets):
                     own = codes[row + texts]
@@ -157,19 +166,14 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                             [pa.array(values.view(np.int64)), pa.array(np.full(len(values), k, np.int32)), pa.array(n)], ["gram", "code", "n"]
                         )
 
-    counts = sample.mapInArrow(count, "gram long, code int, n long").groupBy("gram").pivot("code", list(range(len(languages)))).sum("n")
-    counts = counts.select("gram", F.array(*[F.coalesce(F.col(f"`{k}`"), F.lit(0)) for k in range(len(languages))]).alias("n")).persist()
-    total = counts.agg(*[F.sum(F.col("n")[k]) for k in range(len(languages))]).first()
-    rates = F.array(*[F.col("n")[k] / F.lit(float(max(total[k] or 0, 1))) for k in range(len(languages))])
-    owners = counts.select("gram", "n", rates.alias("rate")).select("gram", "n", "rate", F.posexplode("rate").alias("code", "own"))
-    owners = owners.where((F.col("own") >= SHARE * F.array_max("rate")) & (F.col("n")[F.col("code")] > 1))
-    grams, codes = [], []
-    for k in range(len(languages)):  # at most PER_LANGUAGE each
-        top = owners.where(F.col("code") == k).orderBy(F.desc("own"), "gram").limit(PER_LANGUAGE).select("gram").toPandas()["gram"]
-        grams.append(top.to_numpy(dtype=np.int64).view(np.uint64))
-        codes.append(np.full(len(top), k, dtype=np.int64))
-    counts.unpersist()
-    return LanguageModel.build(languages, np.concatenate(grams), np.concatenate(codes), number[sizes[0]["lang"]])
+    counts = sample.mapInArrow(count, "gram long, code int, n long").groupBy("gram", "code").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "grams")
+    totals = counts.groupBy("code").agg(F.sum("n").alias("total"))  # a row a language
+    rates = counts.join(F.broadcast(totals), "code").withColumn("rate", F.col("n") / F.col("total"))
+    best = F.max("rate").over(Window.partitionBy("gram"))  # at most a row a language
+    owners = rates.withColumn("best", best).where((F.col("rate") >= SHARE * F.col("best")) & (F.col("n") > 1)).select("gram", "code").toPandas()
+    grams = owners["gram"].to_numpy(dtype=np.int64).view(np.uint64)
+    return LanguageModel.build(languages, grams, owners["code"].to_numpy(dtype=np.int64), number[sizes[0]["lang"]])
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
@@ -178,7 +182,8 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
     The n-grams of the whole text look up their languages; the language with the most, after
     taking off those claimed by chance, wins, and its share of all claims is the score. Ties
     go to the first language by name, a text without a known n-gram to the most frequent one. A null text, or one without letters, is ``und`` with
-    score 0. The model (8 MB for up to 64 languages) is broadcast.
+    score 0. Repeated rows get the same answer, an empty table gives an empty result, columns named
+    like a result give way. The model (a bit per language for each of its slots) is broadcast.
     """
     spark: SparkSession = docs.sparkSession
     sent = spark.sparkContext.broadcast((model.languages, model.masks, model.usual))

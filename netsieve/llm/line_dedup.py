@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from netsieve.llm.columns import add_columns, free_name, position
 from netsieve.llm.store import stored
+from netsieve.operators.skew import join_counted
 
 LINES = 3
 
@@ -28,16 +29,16 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     table gives an empty result. Columns named ``n_lines`` and ``n_removed`` give way to the results.
 
     Windows move as 128-bit hashes. A window that makes up much of the corpus is counted
-    before the shuffle, and the joins are ones that Spark splits when they are skewed.
+    before the shuffle, and its rows stay where they are in the join.
     """
-    row = F.xxhash64(id_col, text_col)
+    # two hashes tell rows apart, as they do for windows
+    row = F.struct(F.xxhash64(id_col, text_col).alias("a"), F.xxhash64(F.lit(1), id_col, text_col).alias("b"))
     rows = docs.select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text"))
     id_type = docs.schema[position(docs, id_col)].dataType.simpleString()
-    windows = stored(rows.mapInArrow(_windows(lines), f"h1 long, h2 long, id {id_type}, row long, line int"), "windows")
-    repeated = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    found = stored(windows.join(repeated, ["h1", "h2"]), "repeated")
-    first = found.groupBy("h1", "h2").agg(F.min(F.struct("id", "row", "line")).alias("first"))
-    later = found.join(first, ["h1", "h2"]).where(~F.struct("id", "row", "line").eqNullSafe(F.col("first")))
+    windows = stored(rows.mapInArrow(_windows(lines), f"h1 long, h2 long, id {id_type}, row struct<a:long,b:long>, line int"), "windows")
+    place = F.struct("id", "row", "line")
+    repeated = stored(windows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "repeated")
+    later = join_counted(windows, repeated, ["h1", "h2"], "n", "inner").where(~place.eqNullSafe(F.col("first")))
     key, gone = free_name(docs, "_row"), free_name(docs, "_later")
     covered = later.groupBy(F.col("row").alias(key)).agg(F.sort_array(F.collect_set("line")).alias(gone))
     marked = docs.withColumn(key, row).join(covered, key, "left").drop(key)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from netsieve.llm import words
 from netsieve.llm.components import connected_components
 from netsieve.llm.store import stored, whole_groups
-from netsieve.operators.skew import join_spread
+from netsieve.operators.skew import join_counted, join_spread
 
 SIGNATURE = 72  # MinHash values of a document
 STEP = 3  # a new sorted order begins at every third value: 24 orders
@@ -30,7 +30,7 @@ _SKETCH = "row_id long, doc_id long, n_shingles long, h1 long, h2 long, sig arra
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, row_col: str | None = None
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``, with ``row_col`` also ``chosen``.
 
     Two documents are linked if 100 * common shingles >= ``percent`` * all shingles of both;
     ``component_id`` is the smallest id within reach over links.
@@ -47,9 +47,11 @@ def near_duplicates(
     - Connected candidates form clusters, whose texts are read again. Pairs in a cluster that
       are not joined yet and whose signatures are close are compared on their full sets.
 
-    Exactly one row of each component is ``kept``: the one with the smallest id, of several
-    with that id or without any the one with the smallest number. Null and empty texts, and
-    texts without words, have an empty set, are linked with nothing and all kept. Rows
+    ``kept`` is true where ``doc_id`` equals ``component_id``, so rows that repeat the smallest id
+    are all kept, and null ids never. ``chosen`` marks exactly one row of each component: the one
+    with the smallest id, of several with that id or without any the one with the smallest
+    number; and every row without words. Null and empty texts, and
+    texts without words, have an empty set and are linked with nothing. Rows
     without an id are linked like others; their component is null if no row of it has an id.
     Rows that repeat an id are judged one by one by their own texts. An empty table gives an
     empty result. Other columns are neither read nor returned.
@@ -61,7 +63,7 @@ def near_duplicates(
     docs = docs.select("row_id", "text")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
     classes = stored(
-        sketches.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("row_id").alias("rep"), F.min(first).alias("first")), "classes"
+        sketches.where("n_shingles > 0").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("row_id").alias("rep"), F.min(first).alias("first")), "classes"
     )
     nodes = sketches.join(classes.select(F.col("rep").alias("row_id")), "row_id", "left_semi").drop("doc_id")
     clusters = connected_components(_candidates(nodes, percent))
@@ -70,13 +72,16 @@ def near_duplicates(
     found = classes.join(components, "rep", "left").withColumn("root", F.coalesce("component", "rep"))
     found = join_spread(found.drop("first"), found.groupBy("root").agg(F.min("first").alias("first")), ["root"], "inner")
     empty = F.col("n_shingles") == 0
-    rows = sketches.join(found.select("h1", "h2", "first"), ["h1", "h2"], "left")
+    found = stored(found.select("h1", "h2", "first", "n"), "found")
+    rows = join_counted(sketches.drop("sig"), found, ["h1", "h2"], "n")
+    component = F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id"))
     return rows.select(
         *([F.col("row_id").alias(row_col)] if row_col else []),
         "doc_id",
         "n_shingles",
-        F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
-        (empty | (F.col("row_id") == F.col("first.row_id"))).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+        *([(empty | (F.col("row_id") == F.col("first.row_id"))).alias("chosen")] if row_col else []),
     )
 
 
@@ -147,8 +152,8 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     orders = range(SIGNATURE // STEP)
     keys = F.array(*[F.struct(_prefix(t, SHALLOW).alias("key"), _prefix(t, DEEP).alias("deep")) for t in orders])
     rows = nodes.select("row_id", F.explode(keys).alias("k")).select("row_id", "k.key", "k.deep")
-    sizes = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    shared = stored(rows.join(sizes, "key"), "regions")
+    sizes = stored(rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
+    shared = stored(join_counted(rows, sizes.withColumn("n", F.col("m")), ["key"], "n", "inner"), "regions")
     crowded = shared.where(F.col("m") > BLOCK).select("row_id", F.col("deep").alias("key"))
     deep_sizes = crowded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     deep = stored(join_spread(crowded, deep_sizes, ["key"], "inner").select("key", "row_id", "m"), "crowded")

@@ -14,6 +14,7 @@ from netsieve.llm.store import stored, whole_groups
 CANDIDATES, QUERIES = 8192, 2048  # vectors of a tile's sides, on average
 EXACT_IN_FLOAT = (1 << 24) // (127 * 127)  # int8 products that a float32 sum holds exactly
 _STEP = 256
+TINY = 1e-290  # what scaling may lose of products next to nothing
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -30,7 +31,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     crowded vectors load no single task. A tile multiplies int8 vectors; with the norms of what
     quantisation cut off, each product has an upper and a lower bound. Pairs whose upper bound
     reaches the query's k-th largest lower bound are computed again in double, so no true
-    neighbour is lost. Each tile keeps ``k`` per query, and a heap merges the tiles' lists.
+    neighbour is lost. Bounds are taken on vectors scaled by powers of two, so components of any finite size
+    keep them finite; scores beyond the range of doubles are infinite or NaN, NaN ranks last, and
+    pairs that may have one are all computed in double. Each tile keeps ``k`` per query, and a heap merges the tiles' lists.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("asks"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -64,8 +67,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
             cuts = np.flatnonzero(np.diff(q)) + 1
             out = []
             for lo, hi in zip([0, *cuts], [*cuts, len(q)], strict=True):
-                top = heapq.nsmallest(k, zip((-s[lo:hi]).tolist(), v[lo:hi].tolist(), strict=True))
-                out += [(int(q[lo]), rank, vec, -score) for rank, (score, vec) in enumerate(top, 1)]
+                found = zip(np.isnan(s[lo:hi]).tolist(), np.nan_to_num(-s[lo:hi], nan=0.0, posinf=np.inf, neginf=-np.inf).tolist(), v[lo:hi].tolist(), strict=True)
+                top = heapq.nsmallest(k, found)
+                out += [(int(q[lo]), rank, vec, float("nan") if lost else -score) for rank, (lost, score, vec) in enumerate(top, 1)]
             types = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["query_id", "rank", "vec_id", "score"])
 
@@ -73,13 +77,18 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
 
 
 def _quantise(matrix):
-    """Whole numbers up to 127 (kept as float32), step, norm of the rounded vectors, norm of the rest."""
+    """Whole numbers up to 127 (kept as float32), step, norm of the rounded vectors, norm of the rest, exponent.
+
+    Vectors are scaled by powers of two first, so that their largest component lies in [0.5, 1); the
+    last result is the exponent taken off.
+    """
+    exponent = np.frexp(np.abs(matrix).max(axis=1))[1]
+    matrix = np.ldexp(matrix, -exponent[:, None])
     step = np.abs(matrix).max(axis=1, keepdims=True) / 127
-    step[step == 0] = 1  # components too small to divide
     codes = np.rint(matrix / step)
     rounded = codes * step
     rest = np.linalg.norm(matrix - rounded, axis=1)
-    return codes.astype(np.float32), step[:, 0], np.linalg.norm(rounded, axis=1), rest
+    return codes.astype(np.float32), step[:, 0], np.linalg.norm(rounded, axis=1), rest, exponent
 
 
 def _products(a, b):
@@ -90,26 +99,32 @@ def _products(a, b):
     return total
 
 
+@np.errstate(over="ignore", invalid="ignore")
 def _tile(query_ids, queries, ids, matrix, k):
     """The ``k`` best candidates of each query, in record batches."""
     if not len(query_ids) or not len(ids):
         return
-    q_codes, q_step, q_norm, q_rest = _quantise(queries)
-    codes, step, norm, rest = _quantise(matrix)
+    q_codes, q_step, q_norm, q_rest, q_exponent = _quantise(queries)
+    codes, step, norm, rest, exponent = _quantise(matrix)
     whole = norm + rest
+    # candidates of all sizes are compared at the size of the largest; a query's own size changes no order
+    size = exponent - exponent.max()
     for lo in range(0, len(query_ids), _STEP):
         some = slice(lo, min(lo + _STEP, len(query_ids)))
         near = _products(q_codes[some], codes) * q_step[some, None] * step[None, :]
         # q.x = q^.x^ + q^.(x - x^) + (q - q^).x, with a little for rounding in double
         slack = (q_norm[some, None] * rest + q_rest[some, None] * whole) * (1 + 1e-9) + 1e-12 * (q_norm[some, None] + q_rest[some, None]) * whole
+        near, slack = np.ldexp(near, size), np.ldexp(slack, size) + TINY
         own = query_ids[some, None] == ids[None, :]
         low = np.where(own, -np.inf, near - slack)
         kth = np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(low), -np.inf)
-        row, col = np.nonzero((near + slack >= kth[:, None]) & ~own)
+        # where a term may leave the range of doubles, only the score itself tells
+        huge = np.isinf(np.ldexp((q_norm + q_rest)[some, None] * whole, q_exponent[some, None] + exponent))
+        row, col = np.nonzero(((near + slack >= kth[:, None]) | huge) & ~own)
         score = np.zeros(len(row))
         for d in range(matrix.shape[1]):
             score += queries[some][row, d] * matrix[col, d]
-        order = np.lexsort((ids[col], -score, row))
+        order = np.lexsort((ids[col], -score, row))  # NaN last
         row, col, score = row[order], col[order], score[order]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         keep = place < k

@@ -212,3 +212,25 @@ def test_every_operator_is_registered():
     names = queries.queries()
     assert [n.split("_")[0] for n in names] == [*(f"op{k}" for k in range(1, 11)), "pipeline"]
     assert set(queries.oracle_sql()) < set(names)
+
+
+def test_neighbours_of_huge_and_tiny_components(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(40)] + [(100, [1e160, 0.0, 0.0, 0.0]), (101, [-1e160, 1.0, 0.0, 0.0]), (102, [1e-300, 0.0, 0.0, 1e-310]), (103, [1e308, 1e308, 1e308, 1e308])]
+    rows += [(200 + i, [1e160 * (i + 1), 0.0, 0.0, 0.0]) for i in range(25)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.nearest(vectors, F.col("vec_id").isin(1, 2, 100, 102)).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    by_id = dict(rows)
+    for q, found in got.items():
+        with np.errstate(over="ignore"):
+            scores = []
+            for v, x in rows:
+                if v != q:
+                    s = 0.0
+                    for a, b in zip(by_id[q], x):
+                        s += float(np.float64(a) * np.float64(b))
+                    scores.append((-s, v))
+        assert found == [(v, -s) for s, v in sorted(scores)[:20]]
+    assert len(got) == 4
