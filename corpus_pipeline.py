@@ -10,6 +10,18 @@ from netsieve.llm.columns import free_name
 from netsieve.llm.store import stored
 
 
+def _beside(docs: DataFrame, *results: str) -> tuple[DataFrame, list]:
+    """``docs`` with its columns named like a result moved out of the way, and what restores them all."""
+    moved, back = docs, []
+    for name in docs.columns:
+        own = name
+        if name.lower() in results:
+            own = free_name(moved, f"own_{name}")
+            moved = moved.withColumnRenamed(name, own)
+        back.append(F.col(f"`{own}`").alias(name))
+    return moved, back
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found; those without text or letters go.
 
@@ -19,10 +31,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of three-line passages; texts that lose all their lines go."""
-    cut = line_dedup.drop_repeated_lines(docs)
+    """Texts without later copies of three-line passages; texts that lose all their lines go.
+
+    ``n_chars`` follows the text, all other columns stay as they are, whatever their names.
+    """
+    rows, back = _beside(docs, "n_lines", "n_removed")
+    cut = line_dedup.drop_repeated_lines(rows)
     kept = cut.where("n_removed = 0 or n_removed < n_lines").withColumn("n_chars", F.length("text").cast("long"))
-    return kept.select(*docs.columns)
+    return kept.select(*back)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,15 +49,15 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     row = free_name(docs, "row_id")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    gone = near_dedup.near_duplicates(rows, row_col=row).where("not kept").select(row)
+    gone = near_dedup.near_duplicates(rows, row_col=row).where("not chosen").select(row)
     return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of a benchmark item."""
+    """Documents without any passage of a benchmark item; their columns stay as they are."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_passages(docs, items)
-    return found.where(F.size("hit_words") == 0).select(*docs.columns)
+    rows, back = _beside(docs, "n_words", "hit_words", "items", "spans")
+    return decontaminate.find_passages(rows, items).where(F.size("hit_words") == 0).select(*back)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
