@@ -14,6 +14,7 @@ from netsieve import fixed_values as V
 from netsieve.functions import features
 from netsieve.operators import classify, encode, metrics, profile, sequence
 from netsieve.operators.anomaly import clusters, components, density, iforest, ocsvm, thresholds
+from netsieve.operators.vectorise import RecordVectorizerModel
 from netsieve.plans import anomaly, classify as plans
 from netsieve.session import ensure_checkpoint_dir
 from netsieve.sources import derived, model_store, readers, writers
@@ -373,6 +374,25 @@ def a9(spark, sf):
     return writers.anomaly_results(detector.detect(df), detector.names)
 
 
+@check(
+    "a12_stored_vectoriser",
+    derived_sql(
+        "device_logs",
+        """select event_id, coalesce(code, case when level is null then 0 else (select count(*) from codes) end)::double as code, true as same_width
+from device_logs left join codes using (level)""",
+        ("codes", "select level, row_number() over (order by level) - 1 as code from (select distinct level from device_logs where event_id % 4 > 0 and level <> 'INFO')"),
+    ),
+)
+def a12(spark, sf):
+    # INFO rows are as new as a quarter of the others to what was fitted and stored
+    path = f"{scratch(spark)}/vectors"
+    anomaly.fit_vectorizer(logs(spark, sf).where("event_id % 4 > 0 and level <> 'INFO'"), "log").write().save(path)
+    model = RecordVectorizerModel.load(path)
+    values = vector_to_array("features")
+    code, width = model.names.index("level_encoded"), len(model.names)
+    return model.transform(logs(spark, sf)).select("event_id", values[code].alias("code"), (F.size(values) == width).alias("same_width"))
+
+
 # --- N: sequences --------------------------------------------------------------------
 
 

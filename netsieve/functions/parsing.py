@@ -181,8 +181,13 @@ def parse_lines(df: DataFrame, ref_year: int | None = None, line_col: str = "lin
     return df.withColumn("severity_name", name).drop("_pri", "_time", "_time3", "_host", "_pid", "_number")
 
 
+def origin(df: DataFrame) -> Column:
+    """What tells the files of the lines apart: the whole path where the reader gave it, else the name."""
+    return F.col("source_path" if "source_path" in df.columns else "source_file")
+
+
 def record_id(*parts: Column | str) -> Column:
-    """Deterministic 16-digit id from the file of a line and what it says; nulls are left out."""
+    """Deterministic 16-digit id from the file of a line (its :func:`origin`) and what it says; nulls are left out."""
     return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 16)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -39,19 +41,26 @@ def keep_words(words: Column, general=V.GENERAL_STOP_WORDS, network=V.NETWORK_ST
     return F.filter(words, lambda w: (F.length(w) > 2) & ~w.isin(stop))
 
 
-@F.pandas_udf(StringType())
-def stemmed_text(words: pd.Series) -> pd.Series:
-    return words.map(lambda ws: " ".join(stem(w) for w in ws))
-
-
-@F.pandas_udf(StringType())
-def strip_accents(text: pd.Series) -> pd.Series:
-    def plain(s):
-        if s is None or s.isascii():
-            return s
-        return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
-
-    return text.map(plain)
+@F.arrow_udf(StringType())
+def stemmed_text(words: pa.Array) -> pa.Array:
+    """Each list's words stemmed and joined by blanks; a batch stems its distinct words once."""
+    flat = words.flatten().dictionary_encode()
+    stems = pa.array([None if w is None else stem(w) for w in flat.dictionary.to_pylist()], pa.string())
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(), dtype=np.int32)
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    joined = pc.binary_join(pa.ListArray.from_arrays(offsets, stems.take(flat.indices)), " ")
+    return pc.if_else(words.is_valid(), joined, pa.scalar(None, pa.string()))
+
+
+@F.arrow_udf(StringType())
+def strip_accents(text: pa.Array) -> pa.Array:
+    """Texts without combining marks; Python looks only at the distinct texts beyond ASCII."""
+    plain = pc.fill_null(pc.string_is_ascii(text), True)
+    if pc.all(plain).as_py() is not False:
+        return text
+    odd = text.filter(pc.invert(plain)).dictionary_encode()
+    bare = ["".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)) for s in odd.dictionary.to_pylist()]
+    return pc.replace_with_mask(text, pc.invert(plain), pa.array(bare, pa.string()).take(odd.indices).cast(text.type))
 
 
 def kept_tokens(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembl
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from netsieve.functions.features import lookup
 from netsieve.operators.ordering import global_index
@@ -110,33 +111,55 @@ def drop_unlabelled(df: DataFrame, label: str) -> DataFrame:
     return df.na.drop(subset=[label])
 
 
-def stratified_split(
-    df: DataFrame, label: str, key: list[str], test: float = 0.2, seed: int = 42, bucket_digits: int = 3
-) -> DataFrame:
+def stratified_split(df: DataFrame, label: str, key: list[str], test: float = 0.2, seed: int = 42, digits: int = 3) -> DataFrame:
     """Add ``is_test``: within each label the share ``test`` with the smallest md5 of the key.
 
-    A label may hold most rows, so no window runs over a whole label: the leading
-    hex digits cut each label into even buckets, buckets below the cut are test rows
-    as a whole and rows are ranked only inside their bucket. ``key`` must tell
-    rows apart; drop rows without a label first.
+    The hash that ends a label's share is found by radix selection: a pass counts the rows of
+    each label by the leading ``digits`` hex digits, the next one counts the following digits
+    of those rows only that share the digits of the cut, until the cut falls between two
+    groups. Then each row is a test row if its hash is not beyond the cut: rows are neither
+    shuffled nor sorted, what moves is a count per label and group, and one row a label is
+    broadcast. Rows with one key fall on the same side.
+
+    If a label has a single row, nothing can be held out of it in proportion: then the whole table is
+    split at once, whatever the labels. ``key`` must tell rows apart; drop rows without a
+    label first.
     """
-    text = F.concat_ws(":", *[F.col(c).cast("string") for c in key], F.lit(str(seed)))
-    rows = df.withColumn("_hash", F.md5(text))
-    rows = rows.withColumn("_bucket", F.substring("_hash", 1, bucket_digits))
-    sizes = rows.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(
-        label,
-        "_bucket",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.ceil(F.sum("_n").over(Window.partitionBy(label)) * F.lit(test)).alias("_quota"),
-    )
-    inside = Window.partitionBy(label, "_bucket").orderBy("_hash", *key)
-    return (
-        rows.join(sizes, [label, "_bucket"])
-        .withColumn("is_test", F.col("_before") + F.row_number().over(inside) <= F.col("_quota"))
-        .drop("_hash", "_bucket", "_before", "_quota")
-    )
+    text = F.concat_ws(":", *[F.col(f"`{c}`").cast("string") for c in key], F.lit(str(seed)))
+    rows = df.select(F.col(f"`{label}`").alias("label"), F.md5(text).alias("hash"))
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    whole = sizes.agg(F.min("n")).first()[0] == 1
+    if whole:
+        rows = rows.withColumn("label", F.lit(""))
+        sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    # a row a label: how many rows are still to be taken behind the digits of the cut so far
+    open_ = {r["label"]: ("", r["left"]) for r in sizes.select("label", F.ceil(F.col("n") * F.lit(test)).alias("left")).collect()}
+    kind, cuts, at = sizes.schema["label"].dataType, {}, 0
+    while open_:
+        at += digits
+        found = _cut_groups(rows, {k: v for k, v in open_.items()}, kind, at)
+        open_ = {}
+        for lab, group, n, left in found:
+            # all rows of the group are taken, or all digits are known
+            if n == left or at >= 32:
+                cuts[lab] = group
+            else:
+                open_[lab] = (group, left)
+    spark = df.sparkSession
+    table = spark.createDataFrame([(k, v + "g") for k, v in cuts.items()], StructType().add("_label", kind).add("_cut", "string"))
+    own = F.lit("") if whole else F.col(f"`{label}`")
+    out = df.join(F.broadcast(table), own == F.col("_label"), "left")
+    return out.withColumn("is_test", F.md5(text) < F.col("_cut")).drop("_label", "_cut")
+
+
+def _cut_groups(rows: DataFrame, open_: dict, kind, digits: int) -> list:
+    """Of each open label the group of leading digits that holds the cut, its rows, and how many of them are taken."""
+    table = rows.sparkSession.createDataFrame([(k, *v) for k, v in open_.items()], StructType().add("label", kind).add("head", "string").add("left", "long"))
+    inside = rows.join(F.broadcast(table), "label").where(F.col("hash").startswith(F.col("head")))
+    groups = inside.groupBy("label", "left", F.substring("hash", 1, digits).alias("group")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("label").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    taken = groups.select("label", "group", "n", (F.col("left") - before).alias("taken"))
+    return [tuple(r) for r in taken.where("taken > 0 and taken <= n").collect()]
 
 
 def stratified_folds(df: DataFrame, label: str, key: list[str], folds: int, seed: int = 42, buckets: int = 4096) -> DataFrame:

@@ -60,6 +60,24 @@ def global_index(df: DataFrame, order: list, name: str = "index", buckets: int |
     return out.drop("_bucket", "_offset_rows")
 
 
+def occurrence_number(df: DataFrame, keys: list[str], order: list, name: str = "number", buckets: int | None = None) -> DataFrame:
+    """Number from 1 of each row among those of its key, for keys of any size.
+
+    Rows are numbered inside a range of key and order; a key that goes over several ranges goes on
+    where the range before ends. Each range begins with at most one such key, so what is
+    broadcast is at most one row per range.
+    """
+    ranged = range_buckets(df, [*keys, *order], buckets)
+    pieces = ranged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    along = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = pieces.withColumn("_before", F.sum("_n").over(along)).where("_before is not null")
+    first = carried.select("_bucket", "_before", F.struct(*keys).alias("_key"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
+    out = ranged.withColumn(name, inside).join(F.broadcast(first), "_bucket", "left")
+    more = F.when(F.struct(*keys).eqNullSafe(F.col("_key")), F.col("_before")).otherwise(0)
+    return out.withColumn(name, F.col(name) + more).select(*df.columns, name)
+
+
 def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
     """Quantile with linear interpolation, exact at any size.
 

@@ -21,6 +21,21 @@ from pyspark.sql import functions as F
 from netsieve.functions.text import sentiment_label
 
 
+def term_stages(text: str, out: str, bigrams: bool = False, stop_words: list | None = None) -> tuple[list, str]:
+    """Stages from a text to its words (and pairs of words), with nothing to fit, and the column of terms."""
+    tokenizer = RegexTokenizer(
+        inputCol=text, outputCol=f"_{out}_raw", pattern=r"\b\w\w+\b", gaps=False, toLowercase=True
+    )
+    stop = StopWordsRemover.loadDefaultStopWords("english") if stop_words is None else list(stop_words)
+    remover = StopWordsRemover(inputCol=f"_{out}_raw", outputCol=f"_{out}_words", stopWords=stop)
+    stages = [tokenizer, remover]
+    terms = f"_{out}_words"
+    if bigrams:
+        stages.append(NGram(n=2, inputCol=terms, outputCol=f"_{out}_pairs"))
+        stages.append(SQLTransformer(statement=f"select *, concat({terms}, _{out}_pairs) as _{out}_terms from __THIS__"))
+        terms = f"_{out}_terms"
+    return stages, terms
+
 
 def fit_tfidf(
     df: DataFrame,
@@ -34,28 +49,19 @@ def fit_tfidf(
 ) -> PipelineModel:
     """Vocabulary by total count, smoothed idf plus 1, unit length.
 
-    ``min_df`` and ``max_df`` read as in the source: an integer of at least 1 (``min_df``)
-    is a row count, a fraction below 1 a share of rows.
+    ``min_df`` and ``max_df`` read as in the source: an integer is a row count, a fraction up
+    to 1.0 a share of rows (``min_df`` takes its counts as floats too). A fitted model holds
+    the terms that at least ``min_df`` and at most ``max_df`` rows have.
     """
-    tokenizer = RegexTokenizer(
-        inputCol=text, outputCol=f"_{out}_raw", pattern=r"\b\w\w+\b", gaps=False, toLowercase=True
-    )
-    stop = StopWordsRemover.loadDefaultStopWords("english") if stop_words is None else list(stop_words)
-    remover = StopWordsRemover(inputCol=f"_{out}_raw", outputCol=f"_{out}_words", stopWords=stop)
-    stages = [tokenizer, remover]
-    terms = f"_{out}_words"
-    if bigrams:
-        stages.append(NGram(n=2, inputCol=terms, outputCol=f"_{out}_pairs"))
-        stages.append(SQLTransformer(statement=f"select *, concat({terms}, _{out}_pairs) as _{out}_terms from __THIS__"))
-        terms = f"_{out}_terms"
+    stages, terms = term_stages(text, out, bigrams, stop_words)
     staged = df
     for s in stages:
         staged = s.transform(staged)
     staged = staged.select(terms)
     counter = CountVectorizer(
         inputCol=terms, outputCol=f"_{out}_tf", vocabSize=max_terms, minDF=min_df,
-        # one is a row count for this setting; a share of all rows means no upper limit
-        maxDF=max_df if max_df < 1.0 else 2**62,
+        # for this setting one is a row count, so a share of all rows has to be spelt as no upper limit
+        maxDF=max_df if isinstance(max_df, int) or max_df < 1.0 else 2**62,
     ).fit(staged)
     idf = IDF(inputCol=f"_{out}_tf", outputCol=f"_{out}_idf").fit(counter.transform(staged))
     weights = Vectors.dense(np.asarray(idf.idf.toArray()) + 1.0)
@@ -68,6 +74,10 @@ def vocabulary(model: PipelineModel) -> list[str]:
     return next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
 
 
+def term_weights(model: PipelineModel) -> list[float]:
+    return next(s.getScalingVec() for s in model.stages if isinstance(s, ElementwiseProduct)).toArray().tolist()
+
+
 def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Add ``sentiment_score``, the mean polarity of the listed words of a row (0 without
     any), and ``sentiment``. ``lexicon`` has ``word, polarity``; ``key`` is unique."""

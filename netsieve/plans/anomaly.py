@@ -9,28 +9,31 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsieve import fixed_values as V
-from netsieve.functions import features as feat
-from netsieve.operators import encode, textmining
+from netsieve.operators import encode
 from netsieve.operators.anomaly import clusters, components, density, iforest, ocsvm, thresholds
+from netsieve.operators.vectorise import RecordVectorizer, RecordVectorizerModel
 
 ALL_MODELS = ("isolation_forest", "one_class_svm", "dbscan", "kmeans", "pca")
 
 
-def log_vectors(df: DataFrame, keep: list[str], ts: str = "ts") -> tuple[DataFrame, list[str]]:
-    """Vectors of the 18 log features and up to 50 TF-IDF terms, with their names."""
-    coded = encode.label_encode(df, "level", "_level_code")
-    rows = feat.log_feature_row(coded, F.col("_level_code"), ts, keep=[*keep, "message"])
-    model = textmining.fit_tfidf(rows, "message", max_terms=50, bigrams=True, min_df=5, max_df=0.8)
-    wide = encode.assemble(model.transform(rows), [*V.LOG_FEATURES, "tfidf"])
-    names = V.LOG_FEATURES + [f"tfidf_{i}" for i in range(len(textmining.vocabulary(model)))]
-    return wide.select(*keep, "features"), names
+def log_vectors(df: DataFrame, keep: list[str], ts: str = "ts", model: RecordVectorizerModel | None = None) -> tuple[DataFrame, list[str]]:
+    """Vectors of the 18 log features and up to 50 TF-IDF terms, with their names.
 
+    ``model`` was fitted on other rows, as :func:`fit_vectorizer` does; without one it is
+    fitted on ``df`` itself.
+    """
+    model = model or fit_vectorizer(df, "log", ts)
+    return model.transform(df).select(*keep, "features"), model.names
 
-def flow_vectors(df: DataFrame, keep: list[str], ts: str = "ts") -> tuple[DataFrame, list[str]]:
-    coded = encode.label_encode(df, "protocol", "_protocol_code")
-    rows = feat.flow_feature_row(coded, F.col("_protocol_code"), ts, keep=keep)
-    return encode.assemble(rows, V.FLOW_FEATURES).select(*keep, "features"), list(V.FLOW_FEATURES)
+
+def flow_vectors(df: DataFrame, keep: list[str], ts: str = "ts", model: RecordVectorizerModel | None = None) -> tuple[DataFrame, list[str]]:
+    model = model or fit_vectorizer(df, "flow", ts)
+    return model.transform(df).select(*keep, "features"), model.names
+
+
+def fit_vectorizer(df: DataFrame, kind: str, ts: str = "ts") -> RecordVectorizerModel:
+    """Codes and terms of ``log`` or ``flow`` records."""
+    return RecordVectorizer(kind=kind, tsCol=ts).fit(df)
 
 
 @dataclass
@@ -40,6 +43,7 @@ class Detector:
     contamination: float
     scaler: PipelineModel
     models: dict = field(default_factory=dict)
+    vectorizer: RecordVectorizerModel | None = None
 
     @property
     def names(self) -> list[str]:
@@ -49,8 +53,11 @@ class Detector:
         return self.scaler.transform(df).drop("_scaled")
 
     def detect(self, df: DataFrame) -> DataFrame:
-        """One wide row per input row: a flag (and a score) per model, then the vote."""
-        rows = self.scale(df)
+        """One wide row per input row: a flag (and a score) per model, then the vote.
+
+        With a vectoriser rows are records; without one they hold ``features``.
+        """
+        rows = self.scale(self.vectorizer.transform(df) if self.vectorizer else df)
         for name in self.names:
             model = self.models[name]
             if name in ("isolation_forest", "one_class_svm"):
@@ -64,6 +71,14 @@ class Detector:
         return thresholds.vote(rows, [f"{n}_anomaly" for n in self.names])
 
 
+def fit_record_detector(df: DataFrame, kind: str, ts: str = "ts", **settings) -> Detector:
+    """A detector that takes records of one kind: vectoriser, scaler and models are fitted on ``df``."""
+    vectorizer = fit_vectorizer(df, kind, ts)
+    out = fit_detector(vectorizer.transform(df).select("features"), **settings)
+    out.vectorizer = vectorizer
+    return out
+
+
 def fit_detector(df: DataFrame, contamination: float = 0.05, models=ALL_MODELS, seed: int = 42) -> Detector:
     """Fit the named models on a table with a ``features`` vector."""
     scaler = encode.fit_population_scaler(df)

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsieve import schema
 from netsieve.functions.extraction import EXTRACTION_GROUPS, extract_fields
-from netsieve.functions.parsing import parse_lines, parseable, record_id
+from netsieve.functions.parsing import origin, parse_lines, parseable, record_id
 from netsieve.functions.rules import classify_messages, risk_score
 from netsieve.operators.dedup import keep_first
 from netsieve.operators.filters import Criteria
+from netsieve.operators.ordering import occurrence_number
 
 
 @dataclass
@@ -59,7 +60,7 @@ def rejected(lines: DataFrame) -> DataFrame:
 
 
 def clean(lines: DataFrame, options: CleanOptions | None = None) -> DataFrame:
-    """Raw lines (with ``source_file, block_start, line_seq``) to cleaned records.
+    """Raw lines (with ``source_file, block_start, line_seq``, and ``source_path`` if known) to cleaned records.
 
     The result has the cleaned schema plus the line's place and ``ips``, all
     addresses of the message.
@@ -68,12 +69,13 @@ def clean(lines: DataFrame, options: CleanOptions | None = None) -> DataFrame:
     rows = parsed_rows(lines, options)
     if options.remove_duplicates:
         rows = keep_first(rows)
-        rows = rows.withColumn("id", record_id("source_file", "original_message"))
+        rows = rows.withColumn("id", record_id(origin(rows), "original_message"))
     else:
         # equal lines of a file are told apart by their order; the first has the id it has after dedup
-        again = F.row_number().over(Window.partitionBy("source_file", "original_message").orderBy("block_start", "line_seq"))
-        number = F.when(again > 1, again.cast("string"))
-        rows = rows.withColumn("id", record_id("source_file", "original_message", number))
+        rows = rows.withColumn("_origin", origin(rows))
+        rows = occurrence_number(rows, ["_origin", "original_message"], ["block_start", "line_seq"], "_again")
+        number = F.when(F.col("_again") > 1, F.col("_again").cast("string"))
+        rows = rows.withColumn("id", record_id("_origin", "original_message", number)).drop("_origin", "_again")
     rows = enrich(rows, options).withColumn("processed_at", F.current_timestamp())
     out = rows.select(*CLEANED_COLUMNS, *POSITION, "ips")
     return options.criteria.apply(out)

@@ -13,18 +13,21 @@ from pyspark.sql import SparkSession
 
 from netsieve.operators.anomaly.iforest import IsolationForest
 from netsieve.operators.anomaly.ocsvm import OneClassSVM
+from netsieve.operators.vectorise import RecordVectorizerModel
 from netsieve.plans.anomaly import Detector
 
 
 def save_detector(spark: SparkSession, detector: Detector, path: str) -> None:
     detector.scaler.write().overwrite().save(f"{path}/scaler")
+    if detector.vectorizer:
+        detector.vectorizer.write().overwrite().save(f"{path}/vectorizer")
     for name, model in detector.models.items():
         if name in ("isolation_forest", "one_class_svm"):
             model.save(spark, f"{path}/{name}")
         elif name != "dbscan":
             model.write().overwrite().save(f"{path}/{name}")
     # written last: its presence says that the rest is complete
-    meta = {"contamination": detector.contamination, "names": detector.names, "dbscan": detector.models.get("dbscan")}
+    meta = {"contamination": detector.contamination, "names": detector.names, "dbscan": detector.models.get("dbscan"), "vectorizer": detector.vectorizer is not None}
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
@@ -37,7 +40,8 @@ def load_detector(spark: SparkSession, path: str) -> Detector:
         "pca": PCAModel.load,
     }
     models = {n: meta["dbscan"] if n == "dbscan" else loaders[n](f"{path}/{n}") for n in meta["names"]}
-    return Detector(meta["contamination"], PipelineModel.load(f"{path}/scaler"), models)
+    vectorizer = RecordVectorizerModel.load(f"{path}/vectorizer") if meta.get("vectorizer") else None
+    return Detector(meta["contamination"], PipelineModel.load(f"{path}/scaler"), models, vectorizer)
 
 
 def load_or_fit(spark: SparkSession, path: str, fit: Callable[[], Detector]) -> Detector:

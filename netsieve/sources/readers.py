@@ -15,6 +15,7 @@ def _lines(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.regexp_replace("value", r"\r$", "").alias("line"),
         F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
     )
 

@@ -51,10 +51,11 @@ def write_normalized_lines(cleaned: DataFrame, path: str, mode: str = "error") -
 def write_by_source_file(cleaned: DataFrame, path: str, mode: str = "error") -> None:
     """One table in one pass, a partition per input file; the whole table is the combined output.
 
-    A file that holds a third of the rows is written by many tasks: rows are not
-    regrouped by file.
+    Rows are brought together by file, so that few output files are written; a file that holds a
+    third of the rows is split over several tasks by the adaptive plan.
     """
-    cleaned.select(*_CLEANED, "source_file").write.mode(mode).partitionBy("source_file").parquet(path)
+    rows = cleaned.select(*_CLEANED, "source_file").hint("rebalance", "source_file")
+    rows.write.mode(mode).partitionBy("source_file").parquet(path)
 
 
 def write_subsets(cleaned: DataFrame, folder: str, mode: str = "error") -> None:

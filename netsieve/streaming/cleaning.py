@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsieve import schema
-from netsieve.functions.parsing import parse_lines, parseable, record_id
+from netsieve.functions.parsing import origin, parse_lines, parseable, record_id
 from netsieve.operators.dedup import keep_first_stream
 from netsieve.plans.clean import CleanOptions, enrich
 
@@ -24,7 +24,7 @@ def clean_stream(lines: DataFrame, options: CleanOptions | None = None, dedup_wa
     rows = rows.withColumn("processed_at", F.current_timestamp())
     if dedup_watermark:
         rows = keep_first_stream(rows, "processed_at", dedup_watermark)
-    rows = enrich(rows.withColumn("id", record_id("source_file", "original_message")), options)
+    rows = enrich(rows.withColumn("id", record_id(origin(rows), "original_message")), options)
     return options.criteria.apply(rows.select(*[f.name for f in schema.CLEANED.fields], "source_file"))
 
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from netsieve.functions import parsing, rules
 from netsieve.operators import dedup, filters, profile
+from netsieve.operators.ordering import occurrence_number
 from netsieve.plans.clean import CleanOptions, clean, parse_table, parsed_rows, rejected
-from netsieve.sources import readers
+from netsieve.sources import readers, writers
+from netsieve.sources.readers import read_log_dir
 
 OPTIONS = CleanOptions(ref_year=2023)
 
@@ -279,3 +281,30 @@ def test_content_class(spark):
     df = spark.createDataFrame([("ssh key",), ("rtt 5",), ("vpn",), ("nope",)], "m string")
     got = [r[0] for r in df.select(rules.content_class("m")).collect()]
     assert got == ["Login Events", "Latency Events", "VPN Events", "Other Events"]
+
+
+def test_equal_file_names_in_two_folders_give_their_own_ids(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.log").write_text("<34>Oct 11 22:14:15 host su: same\n<34>Oct 11 22:14:15 host su: same\n")
+    lines = read_log_dir(spark, f"{tmp_path}/*")
+    rows = clean(lines, CleanOptions(ref_year=2024, remove_duplicates=False)).select("id", "source_file").collect()
+    assert len(rows) == 4 == len({r["id"] for r in rows}) and {r["source_file"] for r in rows} == {"x.log"}
+
+
+def test_a_line_that_makes_up_a_third_is_numbered_in_ranges(spark):
+    said = ["<34>Oct 11 22:14:15 host su: hot"] * 400 + [f"<34>Oct 11 22:14:15 host su: line {i % 300}" for i in range(800)]
+    rows = spark.createDataFrame([(t, "x.log", 0, k) for k, t in enumerate(said)], "line string, source_file string, block_start long, line_seq long")
+    numbered = occurrence_number(rows.repartition(6), ["line"], ["line_seq"], "again", buckets=8)
+    seen = {}
+    for r in sorted(numbered.collect(), key=lambda r: r["line_seq"]):
+        seen[r["line"]] = seen.get(r["line"], 0) + 1
+        assert r["again"] == seen[r["line"]]
+    cleaned = clean(rows, CleanOptions(ref_year=2024, remove_duplicates=False))
+    assert cleaned.select("id").distinct().count() == len(said)
+
+
+def test_outputs_by_file_are_few(spark, tmp_path):
+    rows = spark.createDataFrame([("<34>Oct 11 22:14:15 host su: line %d" % i, f"f{i % 3}.log", 0, i) for i in range(300)], "line string, source_file string, block_start long, line_seq long")
+    writers.write_by_source_file(clean(rows.repartition(8), CleanOptions(ref_year=2024)), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("source_file=*/*.parquet"))) == 3
