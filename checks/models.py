@@ -183,19 +183,20 @@ def l11(spark, sf):
 
 def _event_vectors(spark, sf):
     rows = plans.event_columns(derived.spread(events(spark, sf)))
-    model = plans.fit_event_vectors(events(spark, sf))
-    return model.transform(rows).select("event_id", "ts", "event_type", "source_ip", "is_anomaly", "features").persist()
+    wide = plans.fit_event_vectors(events(spark, sf)).transform(rows)
+    return wide.select("event_id", "ts", "event_type", "source_ip", "is_anomaly", "features").persist(), classify.feature_names(wide, "raw_features")
 
 
 def _dense(spark, sf, iterations=30):
-    rows = encode.stratified_split(_event_vectors(spark, sf), "is_anomaly", ["event_id"]).persist()
+    vectors, names = _event_vectors(spark, sf)
+    rows = encode.stratified_split(vectors, "is_anomaly", ["event_id"]).persist()
     model = classify.fit_dense(rows.where(~F.col("is_test")), "is_anomaly", iterations=iterations)
-    return model, rows
+    return model, rows, names
 
 
 @check("l12_l14_dense_network")
 def l12(spark, sf):
-    model, rows = _dense(spark, sf)
+    model, rows, _ = _dense(spark, sf)
     scored = classify.score_dense(rows.where("is_test"), model)
     acc = metrics.accuracy(scored, "is_anomaly", "predicted_anomaly").first()[0]
     area = metrics.auc(scored, "is_anomaly", "anomaly_score").first()[0]
@@ -228,13 +229,13 @@ def l13_accuracy(spark, sf):
 
 @check("l15_first_layer_importance")
 def l15(spark, sf):
-    model, rows = _dense(spark, sf)
-    return classify.first_layer_importance(spark, model, [f"feature_{i}" for i in range(model.getLayers()[0])])
+    model, _, names = _dense(spark, sf)
+    return classify.first_layer_importance(spark, model, names)
 
 
 @check("l16_score_incoming_events")
 def l16(spark, sf):
-    model, rows = _dense(spark, sf)
+    model, rows, _ = _dense(spark, sf)
     # the held-out rows stand for incoming ones
     return profile.score_summary(classify.score_dense(rows.where("is_test"), model), "predicted_anomaly")
 

@@ -106,6 +106,38 @@ for _col in ("hostname", "source_ip", "threat_name"):
     _top()
 
 
+_FILES = "(select *, concat('f', line_no % 7) as source_file from cleaned)"
+_TOTALS = """count(*) as total_messages, count(distinct hostname) as unique_hosts, count(distinct source_ip) as unique_source_ips,
+  count(distinct threat_name) as unique_threat_names, round(avg(risk_score), 6) as avg_risk_score"""
+
+
+def _profile_table(spark, sf):
+    # lines dealt over seven files
+    rows = cleaned(spark, sf).withColumn("source_file", F.concat(F.lit("f"), (F.col("line_no") % 7).cast("string")))
+    return profile.profile_table(rows)
+
+
+@check("h4_totals_by_file", clean_sql(f"select source_file, {_TOTALS} from {_FILES} group by 1"))
+def h4_by_file(spark, sf):
+    return profile.profile_totals(_profile_table(spark, sf), ["source_file"])
+
+
+@check("h4_totals_of_all_files", clean_sql(f"select {_TOTALS} from cleaned"))
+def h4_merged(spark, sf):
+    return profile.profile_totals(_profile_table(spark, sf))
+
+
+@check(
+    "h6_top_hosts_by_file",
+    clean_sql(
+        f"""select source_file, name, n from (select source_file, hostname as name, count(*) as n,
+  row_number() over (partition by source_file order by count(*) desc, hostname) as k from {_FILES} where hostname is not null group by 1, 2) where k <= 3"""
+    ),
+)
+def h6_by_file(spark, sf):
+    return profile.profile_top(_profile_table(spark, sf), "hostname", 3, ["source_file"])
+
+
 @check(
     "h7_raw_statistics",
     clean_sql(

@@ -102,6 +102,58 @@ def record_totals(cleaned: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
+PROFILED = ("device_type", "event_category", "severity_name", "hostname", "source_ip", "threat_name")
+
+
+def profile_table(cleaned: DataFrame, columns=PROFILED, by: str = "source_file") -> DataFrame:
+    """``(source_file, section, name, n, risk)``: partial results that merge, from one pass.
+
+    A row counts once in the section ``record``, where ``risk`` sums the scores and ``scored``
+    counts them, and once in the section of each column that it has a value for. Reports of
+    any file and of all together follow by adding rows, so store the table and read it for each.
+    A file, or a value, that holds a third of all rows folds before the shuffle.
+    """
+    parts = [F.struct(F.lit("record").alias("section"), F.lit(None).cast("string").alias("name"), F.col("risk_score").cast("long").alias("risk"))]
+    none = F.lit(None).cast("long").alias("risk")
+    for c in columns:
+        part = F.struct(F.lit(c).alias("section"), F.col(c).cast("string").alias("name"), none)
+        parts.append(F.when(F.col(c).isNotNull(), part))
+    long = cleaned.select(F.col(by), F.inline(F.array_compact(F.array(*parts))))
+    return long.groupBy(by, "section", "name").agg(_count(), F.sum("risk").alias("risk"), F.count("risk").alias("scored"))
+
+
+def merged_profile(table: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """A profile table with its files added up, for each value of ``by`` (default: all together)."""
+    sums = [F.sum(c).alias(c) for c in ("n", "risk", "scored")]
+    return table.groupBy(*(by or []), "section", "name").agg(*sums)
+
+
+def profile_totals(table: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The numbers of :func:`record_totals` from a profile table, of all files or by file."""
+    merged = merged_profile(table, by)
+
+    def distinct(section):
+        return F.count_if((F.col("section") == section) & F.col("name").isNotNull())
+
+    record = F.col("section") == "record"
+    return merged.groupBy(*(by or [])).agg(
+        F.sum(F.when(record, F.col("n"))).alias("total_messages"),
+        distinct("hostname").alias("unique_hosts"),
+        distinct("source_ip").alias("unique_source_ips"),
+        distinct("threat_name").alias("unique_threat_names"),
+        F.round(F.try_divide(F.sum(F.when(record, F.col("risk"))), F.sum(F.when(record, F.col("scored")))), 6).alias("avg_risk_score"),
+    )
+
+
+def profile_top(table: DataFrame, section: str, k: int = 10, by: list[str] | None = None) -> DataFrame:
+    """The ``k`` most frequent values of a section, ties by name, of all files or by file."""
+    merged = merged_profile(table.where(F.col("section") == section), by)
+    if not by:
+        return merged.select("name", "n").orderBy(F.desc("n"), "name").limit(k)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "name"))
+    return merged.withColumn("_place", place).where(F.col("_place") <= k).select(*by, "name", "n")
+
+
 def time_histograms(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Hour-of-day and per-day counts in one pass; unparsed times form the null bucket."""
     parts = df.select(

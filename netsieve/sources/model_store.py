@@ -7,10 +7,10 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import PCAModel
 from pyspark.sql import SparkSession
 
+from netsieve.operators.anomaly.clusters import Centres
 from netsieve.operators.anomaly.iforest import IsolationForest
 from netsieve.operators.anomaly.ocsvm import OneClassSVM
 from netsieve.operators.vectorise import RecordVectorizerModel
@@ -22,7 +22,7 @@ def save_detector(spark: SparkSession, detector: Detector, path: str) -> None:
     if detector.vectorizer:
         detector.vectorizer.write().overwrite().save(f"{path}/vectorizer")
     for name, model in detector.models.items():
-        if name in ("isolation_forest", "one_class_svm"):
+        if name in ("isolation_forest", "one_class_svm", "kmeans"):
             model.save(spark, f"{path}/{name}")
         elif name != "dbscan":
             model.write().overwrite().save(f"{path}/{name}")
@@ -36,7 +36,7 @@ def load_detector(spark: SparkSession, path: str) -> Detector:
     loaders = {
         "isolation_forest": lambda p: IsolationForest.load(spark, p),
         "one_class_svm": lambda p: OneClassSVM.load(spark, p),
-        "kmeans": KMeansModel.load,
+        "kmeans": lambda p: Centres.load(spark, p),
         "pca": PCAModel.load,
     }
     models = {n: meta["dbscan"] if n == "dbscan" else loaders[n](f"{path}/{n}") for n in meta["names"]}

@@ -5,11 +5,15 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from netsieve.operators import boosting, kernel
+from netsieve.operators import boosting, kernel, profile
+from netsieve.operators.anomaly import clusters
 
 
 def schema(text):
@@ -171,3 +175,66 @@ def test_a_null_vector_has_no_decision(spark):
     model = kernel.KernelSVM(landmarks=10).fit(df)
     out = model.transform(df.select("features").limit(1).union(spark.createDataFrame([(None,)], schema("features vector"))))
     assert sorted(r["prediction"] is None for r in out.collect()) == [False, True]
+
+
+def planted(spark, k, n=900):
+    rng = random.Random(k)
+    centres = [(rng.uniform(-40, 40), rng.uniform(-40, 40), 5.0) for _ in range(k)]
+    rows = [(i, Vectors.dense([c + rng.gauss(0, 0.5) for c in centres[i % k]])) for i in range(n)]
+    return spark.createDataFrame(rows, schema("id long, features vector"))
+
+
+def test_all_numbers_of_clusters_at_once_choose_like_separate_fits(spark, monkeypatch):
+    scans = []
+    one = clusters._scan
+    monkeypatch.setattr(clusters, "_scan", lambda rows, part: scans.append(1) or one(rows, part))
+    for k in (2, 4):
+        df = planted(spark, k).persist()
+        scans.clear()
+        model, scores = clusters.choose_kmeans(df, "features")
+        assert len(scans) <= clusters.ITERATIONS + 2 and sorted(scores) == list(range(2, 9))
+        evaluator = ClusteringEvaluator(predictionCol="c")
+        alone = {j: evaluator.evaluate(KMeans(k=j, seed=1, initSteps=5, predictionCol="c").fit(df).transform(df)) for j in (k, k + 1)}
+        assert len(model.clusterCenters()) == k == max(scores, key=scores.get)
+        assert math.isclose(scores[k], alone[k], rel_tol=1e-6) and alone[k] > alone[k + 1]
+
+
+def test_silhouettes_equal_direct_ones(spark):
+    df = planted(spark, 3, 60)
+    rows = df.select(vector_to_array("features").alias("v"))
+    x = np.array([r["v"] for r in rows.collect()])
+    fitted = clusters.fit_centres(rows, x[:4], [2, 4])
+    sums = clusters._scan(rows, clusters._silhouettes(fitted))
+    for k, (centres, _) in fitted.items():
+        own = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        away = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+        values = []
+        for i in range(len(x)):
+            inside = away[i, own == own[i]].sum() / max((own == own[i]).sum() - 1, 1)
+            near = min(away[i, own == c].mean() for c in set(own.tolist()) - {own[i]})
+            values.append(0.0 if (own == own[i]).sum() == 1 else (near - inside) / max(near, inside))
+        assert math.isclose(sums[k][0] / sums[k][1], np.mean(values), rel_tol=1e-6)
+
+
+def test_clusters_of_one_point_and_of_few_rows(spark, tmp_path):
+    same = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 400, schema("features vector"))
+    assert clusters.choose_kmeans(same, "features")[0] is None
+    assert clusters.choose_kmeans(same.limit(50), "features") == (None, {})
+    clusters.Centres(np.array([[0.0, 0.0], [10.0, 0.0]])).save(spark, str(tmp_path / "c"))
+    back = clusters.Centres.load(spark, str(tmp_path / "c"))
+    got = clusters.centroid_distance(same.limit(1).union(spark.createDataFrame([(None,), (Vectors.dense([10.0, 3.0]),)], schema("features vector"))), back, "features").collect()
+    assert [r["kmeans_score"] for r in got] == [math.sqrt(5), None, 3.0]
+
+
+def test_profiles_merge(spark):
+    rng = random.Random(6)
+    rows = [(f"f{rng.randrange(4)}", rng.choice(["h1", "h2", None]), rng.choice(["1.1.1.1", None]), rng.choice([10, None, 30])) for _ in range(200)]
+    table = profile.profile_table(spark.createDataFrame(rows, "source_file string, hostname string, source_ip string, risk_score int"), ("hostname", "source_ip"))
+    for by in (None, ["source_file"]):
+        for r in profile.profile_totals(table, by).collect():
+            own = [x for x in rows if by is None or x[0] == r["source_file"]]
+            risks = [x[3] for x in own if x[3] is not None]
+            assert r["total_messages"] == len(own) and r["unique_hosts"] == len({x[1] for x in own} - {None})
+            assert math.isclose(r["avg_risk_score"], sum(risks) / len(risks), abs_tol=1e-6)
+    tops = {(r["source_file"], r["name"]): r["n"] for r in profile.profile_top(table, "hostname", 1, ["source_file"]).collect()}
+    assert len(tops) == 4 and all(n == sum(x[0] == f and x[1] == h for x in rows) for (f, h), n in tops.items())
