@@ -64,7 +64,7 @@ def main():
     slogs = lambda: spark.read.parquet(f"{folder}/scaled_logs")
 
     def iso():
-        sink(iforest.fit_isolation_forest(sflows(), "scaled").predict(sflows(), "scaled"))
+        sink(iforest.fit_predict(sflows(), "scaled")[1])
 
     def svm():
         sink(ocsvm.fit_one_class_svm(sflows(), "scaled").predict(sflows(), "scaled"))

@@ -291,7 +291,7 @@ def _flag_counts(df, name):
 @check("m1_isolation_forest")
 def m1(spark, sf):
     df = scaled_flows(spark, sf)
-    return _flag_counts(iforest.fit_isolation_forest(df, "scaled").predict(df, "scaled"), "isolation_forest")
+    return _flag_counts(iforest.fit_predict(df, "scaled")[1], "isolation_forest")
 
 
 @check("m2_one_class_svm")

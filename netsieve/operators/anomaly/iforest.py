@@ -12,12 +12,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netsieve.operators.ordering import exact_quantile
 
+STEP = 64.0  # the largest mean that is inverted at once
 NODE_SCHEMA = "tree int, node int, feature int, split double, left_node int, right_node int, length double"
 
 
@@ -31,23 +34,71 @@ def _mean_path(n: float) -> float:
 
 
 def draw_samples(df: DataFrame, features: str, trees: int, sample: int, seed: int) -> DataFrame:
-    """``(tree, values)`` with ``sample`` random rows per tree (all rows if there are fewer).
-
-    The draw is by random number, not by row content, so equal rows are no more likely
-    to be drawn together. Up to three times the need is drawn and then cut to size.
+    """``(tree, values)``: ``sample`` random rows per tree, by one rule at all sizes.
+
+    Each row is drawn a Poisson number of times, three times ``trees * sample`` over the number of
+    rows on average, and each draw goes to a tree of its own, where those with the smallest
+    hashes are cut to size. All follows from hashes of the values and ``seed``, so samples are
+    the same however the rows are partitioned. Equal rows draw as one with
+    their number as weight, so they are no more likely to be drawn than any rows. What is
+    shuffled is a hash and a count per distinct row; ``trees * sample`` drawn hashes at most are
+    broadcast to fetch their values.
     """
+    rows = df.where(F.col(features).isNotNull()).select(vector_to_array(features).alias("values"))
+    rows = rows.withColumn("h", F.xxhash64("values", F.lit(seed)))
+    counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("m"))
     n = df.count()
-    rate = min(1.0, 3.0 * sample / n) if n else 1.0
-    rows = df.select(vector_to_array(features).alias("values"))
-    if n >= 2 * trees * sample:
-        drawn = rows.withColumn("_r", F.rand(seed)).where(F.col("_r") < rate * trees)
-        drawn = drawn.withColumn("tree", F.floor(F.rand(seed + 1) * trees).cast("int"))
-    else:
-        # too few rows for separate samples: a row may serve several trees
-        drawn = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        drawn = drawn.withColumn("_r", F.rand(seed)).where(F.col("_r") < rate)
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy("_r"))
-    return drawn.withColumn("_k", rank).where(F.col("_k") <= sample).select("tree", "values")
+    drawn = counts.mapInArrow(_draws(3 * trees * sample / max(n, 1), trees, seed), "h long, tree int, key double")
+    place = F.row_number().over(Window.partitionBy("tree").orderBy("key", "h"))
+    drawn = drawn.withColumn("place", place).where(F.col("place") <= sample).groupBy("h", "tree").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    wanted = F.broadcast(drawn.groupBy("h").agg(F.collect_list(F.struct("tree", "times")).alias("draws")))
+    found = rows.join(wanted, "h").groupBy("h").agg(F.first("values").alias("values"), F.first("draws").alias("draws"))
+    each = found.select("values", F.explode("draws").alias("d")).select("d.tree", "d.times", "values")
+    return each.select("tree", "values", F.explode(F.sequence(F.lit(1), F.col("times")))).select("tree", "values")
+
+
+def _draws(rate: float, trees: int, seed: int):
+    """The draws of each distinct row: tree and random key."""
+
+    def run(batches):
+        for batch in batches:
+            h, m = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            times = _poisson(rate * m, h, seed)
+            row = np.repeat(np.arange(len(h)), times)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            tree = (_uniform(h[row], seed + 1 + number) * trees).astype(np.int64)
+            arrays = [pa.array(h[row].view(np.int64)), pa.array(tree.astype(np.int32)), pa.array(_uniform(h[row], seed + 500_009 + number))]
+            yield pa.RecordBatch.from_arrays(arrays, ["h", "tree", "key"])
+
+    return run
+
+
+def _uniform(h: np.ndarray, salt) -> np.ndarray:
+    """Numbers in [0, 1) that follow from hashes."""
+    x = h + (np.atleast_1d(salt).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+
+
+def _poisson(mean: np.ndarray, h: np.ndarray, seed: int) -> np.ndarray:
+    """Poisson numbers by inversion; a mean beyond ``STEP`` is the sum of several."""
+    out, part = np.zeros(len(mean), dtype=np.int64), 0
+    while (mean > 0).any():
+        now = np.minimum(mean, STEP)
+        u, p, k = _uniform(h, seed - 1_000_003 * (part + 1) & 0x7FFFFFFF), np.exp(-now), 0
+        total = p.copy()
+        open_ = (u >= total) & (now > 0)
+        while open_.any():
+            k += 1
+            p = p * now / k
+            total += p
+            out[open_] += 1
+            # beyond what doubles tell apart nothing is left
+            open_ &= (u >= total) & (p > 0)
+        mean = mean - now
+        part += 1
+    return out
 
 
 def _grow(tree: int, x: np.ndarray, depth_limit: int, rng) -> list[tuple]:
@@ -113,7 +164,9 @@ class IsolationForest:
         return df.withColumn(out, path_score(vector_to_array(features)))
 
     def predict(self, df: DataFrame, features: str) -> DataFrame:
-        scored = self.score(df, features)
+        return self.flag(self.score(df, features))
+
+    def flag(self, scored: DataFrame) -> DataFrame:
         flag = (F.col("isolation_forest_score") > F.lit(self.threshold)).cast("int")
         return scored.withColumn("isolation_forest_anomaly", flag)
 
@@ -132,8 +185,27 @@ class IsolationForest:
 def fit_isolation_forest(
     df: DataFrame, features: str, contamination: float = 0.05, trees: int = 100, sample: int = 256, seed: int = 42
 ) -> IsolationForest:
-    n = df.count()
-    size = min(sample, n)
+    model = _fit_trees(df, features, trees, sample, seed)
+    scores = model.score(df.select(features), features).select("isolation_forest_score")
+    model.threshold = exact_quantile(scores, "isolation_forest_score", 1 - contamination)
+    return model
+
+
+def fit_predict(
+    df: DataFrame, features: str, contamination: float = 0.05, trees: int = 100, sample: int = 256, seed: int = 42
+) -> tuple[IsolationForest, DataFrame]:
+    """The forest and ``df`` with its scores and flags; rows are scored once, for threshold and flags.
+
+    The scored rows stay persisted; ``unpersist`` them when they are no longer read.
+    """
+    model = _fit_trees(df, features, trees, sample, seed)
+    scored = model.score(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    model.threshold = exact_quantile(scored, "isolation_forest_score", 1 - contamination)
+    return model, model.flag(scored)
+
+
+def _fit_trees(df: DataFrame, features: str, trees: int, sample: int, seed: int) -> IsolationForest:
+    size = min(sample, df.count())
     depth = int(np.ceil(np.log2(max(size, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +218,4 @@ def fit_isolation_forest(
 
     drawn = draw_samples(df, features, trees, size, seed)
     nodes = [tuple(r) for r in drawn.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).collect()]
-    model = IsolationForest(nodes, size)
-    scores = model.score(df.select(features), features).select("isolation_forest_score")
-    model.threshold = exact_quantile(scores, "isolation_forest_score", 1 - contamination)
-    return model
+    return IsolationForest(nodes, size)

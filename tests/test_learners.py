@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from netsieve.operators import boosting, kernel, profile
-from netsieve.operators.anomaly import clusters
+from netsieve.operators.anomaly import clusters, iforest
 
 
 def schema(text):
@@ -238,3 +238,32 @@ def test_profiles_merge(spark):
             assert math.isclose(r["avg_risk_score"], sum(risks) / len(risks), abs_tol=1e-6)
     tops = {(r["source_file"], r["name"]): r["n"] for r in profile.profile_top(table, "hostname", 1, ["source_file"]).collect()}
     assert len(tops) == 4 and all(n == sum(x[0] == f and x[1] == h for x in rows) for (f, h), n in tops.items())
+
+
+def test_forest_samples_follow_from_the_rows(spark):
+    df = planted(spark, 3, 500).select("features")
+    hot = df.union(df.limit(1).crossJoin(spark.range(400).select(F.lit(1).alias("one"))).select("features"))
+    draws = [sorted((r["tree"], tuple(r["values"])) for r in iforest.draw_samples(d, "features", 20, 64, 7).collect()) for d in (hot.coalesce(1), hot.repartition(9))]
+    assert draws[0] == draws[1]
+    sizes = np.bincount([t for t, _ in draws[0]], minlength=20)
+    assert sizes.tolist() == [64] * 20
+    # the hot row makes up 401 of 900
+    point = tuple(float(x) for x in df.first()["features"])
+    share = sum(v == point for _, v in draws[0]) / len(draws[0])
+    assert 0.38 < share < 0.52
+
+
+def test_poisson_numbers_have_their_mean_and_variance():
+    h = np.arange(20_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for mean in (0.01, 1.0, 30.0, 500.0):
+        got = iforest._poisson(np.full(len(h), mean), h, 3)
+        assert abs(got.mean() - mean) < 5 * (mean / len(h)) ** 0.5 and (mean < 1 or abs(got.var() / mean - 1) < 0.1)
+    assert iforest._poisson(np.zeros(3), h[:3], 1).tolist() == [0, 0, 0]
+
+
+def test_forest_scores_once_for_threshold_and_flags(spark):
+    df = planted(spark, 2, 300).select("id", "features")
+    model, flagged = iforest.fit_predict(df, "features", 0.05, trees=30)
+    again = iforest.fit_isolation_forest(df, "features", 0.05, trees=30)
+    assert model.threshold == again.threshold
+    assert sorted(flagged.select("id", "isolation_forest_anomaly").collect()) == sorted(again.predict(df, "features").select("id", "isolation_forest_anomaly").collect())
