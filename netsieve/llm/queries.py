@@ -150,6 +150,7 @@ def oracle_sql() -> dict:
     return {
         "op3_warc_bundles": sql.OP3,
         "op4_line_dedup": sql.OP4,
+        "op6_chat_formatting": sql.OP6,
         "op7_minhash_forest": sql.OP7,
         "op8_url_rules": sql.OP8,
         "op9_decontamination": sql.OP9,

@@ -34,6 +34,32 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END A
 FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
+# characters of a text or role behind backslashes: one for each backslash and each control string, overlapping ones too
+_WRITTEN = """length({x}) * 2 - length(replace({x}, chr(92), '')) + (length({x}) - length(replace({x}, '</turn>', ''))) // 7
+  + coalesce(list_sum(list_transform(regexp_extract_all({x}, '#{3,}'), lambda r: length(r) - 2)), 0)"""
+
+OP6 = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', chr(92) || '### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', chr(92) || '### Assistant: </turn> ok'
+), o AS (
+  SELECT *, row_number() OVER w AS k, lag(role) OVER w AS before, lead(k0) OVER w IS NULL AS last
+  FROM (SELECT *, 1 AS k0 FROM t) WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), e AS (
+  SELECT *, """ + _WRITTEN.replace("{x}", "text") + """ + 9 + CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
+    ELSE 7 + length(role) - length(replace(role, ':', '')) + """ + _WRITTEN.replace("{x}", "role") + """ END AS written,
+    CASE WHEN k = 1 THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user'
+      WHEN before = 'user' THEN role = 'assistant' ELSE false END AND (NOT last OR role = 'assistant') AS fits
+  FROM o
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(written)::BIGINT AS formatted_chars, bool_and(fits) AS valid
+FROM e GROUP BY conv_id
+"""
+
 OP7 = """
 WITH RECURSIVE t AS (SELECT doc_id, """ + _WORDS4.replace("{low}", _LOW) + """ AS w FROM documents),
 s AS (
