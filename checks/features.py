@@ -293,7 +293,7 @@ def j7(spark, sf):
     return _vectors(df, "event_id", model)
 
 
-@check("j8_strip_accents")
+@check("j8_strip_accents", "select doc_id, strip_accents(lower(text)) as text from documents")
 def j8(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return docs.select("doc_id", text.strip_accents(F.lower("text")).alias("text"))

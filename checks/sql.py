@@ -15,6 +15,7 @@ def derived_cte(name: str) -> tuple[str, str]:
     return (name, sql_text(name, DUCKDB_TIME))
 
 
+# The three line layouts. The keyword lists below are fixed values too.
 R5424 = r"^<(\d+)>(\d+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(\S+)\s+(.*)$"
 R3164 = r"^<(\d+)>(\w+\s+\d+\s+\d+:\d+:\d+)\s+(\S+)\s+([^:\[]+)(?:\[(\d+)\])?:\s*(.*)$"
 RFALL = r"^<(\d+)>(.*)$"
