@@ -273,15 +273,24 @@ def l17_best(spark, sf):
 # --- M: detectors -------------------------------------------------------------------
 
 
+def _scaled(df):
+    """The scaled rows, persisted; the features are found once."""
+    df = df.persist()
+    scaled = encode.fit_population_scaler(df).transform(df).drop("features", "_scaled").persist()
+    scaled.count()
+    df.unpersist()
+    return scaled
+
+
 def scaled_flows(spark, sf):
-    df, _ = anomaly.flow_vectors(derived.spread(flows(spark, sf)), ["flow_id", "true_label"])
-    return encode.fit_population_scaler(df).transform(df).select("flow_id", "true_label", "scaled").persist()
+    df = flows(spark, sf)
+    model = anomaly.fit_vectorizer(df, "flow")
+    return _scaled(anomaly.flow_vectors(derived.spread(df), ["flow_id", "true_label"], model=model)[0])
 
 
 def scaled_logs(spark, sf):
     df, names = anomaly.log_vectors(derived.spread(logs(spark, sf)), ["event_id", "true_label"])
-    scaled = encode.fit_population_scaler(df).transform(df)
-    return scaled.select("event_id", "true_label", "scaled").persist(), names
+    return _scaled(df), names
 
 
 def _flag_counts(df, name):
@@ -297,7 +306,7 @@ def m1(spark, sf):
 @check("m2_one_class_svm")
 def m2(spark, sf):
     df = scaled_flows(spark, sf)
-    return _flag_counts(ocsvm.fit_one_class_svm(df, "scaled").predict(df, "scaled"), "one_class_svm")
+    return _flag_counts(ocsvm.fit_predict(df, "scaled")[1], "one_class_svm")
 
 
 @check("m3_density_noise")

@@ -327,3 +327,66 @@ def test_pca_error(spark):
     _, _, vt = np.linalg.svd(x, full_matrices=False)
     want = ((x - x @ vt[:2].T @ vt[:2]) ** 2).sum(1)
     assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_one_class_passes_in_blocks_agree_with_whole_rows(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x, proj, phase = rng.normal(size=(700, 5)) * 30, rng.normal(size=(5, 40)), rng.uniform(0, 2 * np.pi, 40)
+    z = np.sqrt(2 / 40) * np.cos(x @ proj + phase)
+    assert np.allclose(ocsvm._map_rows(x, proj, phase), z, atol=1e-13)
+    weights, edges = z.mean(axis=0), np.linspace(-0.5, 0.5, ocsvm.BINS - 1)
+    packed = ocsvm._packed(vectors(spark, x), "v")
+    counts, sums = ocsvm._bin_sums(packed, proj, phase, weights, edges, 140)
+    where = np.searchsorted(edges, z @ weights)
+    assert counts.sum() == len(x) and np.abs(counts - np.bincount(where, minlength=len(counts))).sum() <= 2
+    assert np.allclose(sums[: 141].sum(axis=0), z[where <= 140].sum(axis=0), atol=0.5) and not sums[141:].any()
+    # a cut beyond the bins that were summed is found by summing all
+    whole = ocsvm.fit_one_class_svm(vectors(spark, x), "v", gamma=0.001)
+    monkeypatch.setattr(ocsvm, "AHEAD", -1)
+    assert np.allclose(ocsvm.fit_one_class_svm(vectors(spark, x), "v", gamma=0.001).weights, whole.weights)
+
+
+def test_one_class_scores_once_for_threshold_and_flags(spark):
+    x, _ = planted(np.random.default_rng(7), n=600, bad=12)
+    df = vectors(spark, x)
+    model, flagged = ocsvm.fit_predict(df, "v")
+    again = ocsvm.fit_one_class_svm(df, "v")
+    assert model.rho == pytest.approx(again.rho, rel=1e-6)
+    assert sorted(r.id for r in flagged.where("one_class_svm_anomaly = 1").collect()) == sorted(r.id for r in again.predict(df, "v").where("one_class_svm_anomaly = 1").collect())
+
+
+def test_forest_paths_and_rows_without_a_vector(spark):
+    x, _ = planted(np.random.default_rng(5), n=400, bad=8)
+    df = vectors(spark, x)
+    model = iforest.fit_isolation_forest(df, "v", trees=20)
+    trees = {}
+    for t, n, *rest in model.nodes:
+        trees.setdefault(t, {})[n] = rest
+
+    def path(tree, row):
+        feature, split, left, right, length = tree[0]
+        while feature >= 0:
+            feature, split, left, right, length = tree[left if row[feature] <= split else right]
+        return length
+
+    want = [2.0 ** (-(sum(path(t, row) for t in trees.values()) / 20) / iforest._mean_path(model.sample)) for row in x]
+    got = model.score(df.union(df.limit(1).selectExpr("cast(-1 as long) as id", "null as v")), "v").orderBy("id").collect()
+    assert got[0]["isolation_forest_score"] is None
+    assert np.allclose([r["isolation_forest_score"] for r in got[1:]], want)
+
+
+def test_detectors_find_the_features_once(spark):
+    from netsieve.plans import anomaly
+
+    x, _ = planted(np.random.default_rng(5), n=300, bad=8)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(values):
+        seen.add(1)
+        return values
+
+    arrays = vectors(spark, x).select(vector_to_array("v").alias("a"))
+    df = arrays.select(array_to_vector(F.udf(counted, "array<double>")("a")).alias("features"))
+    anomaly.fit_detector(df, models=("isolation_forest", "kmeans", "pca"))
+    # the width of the vectors may be read from a few rows before
+    assert len(x) <= seen.value < 2 * len(x)
