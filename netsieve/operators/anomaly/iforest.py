@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from netsieve.operators.ordering import exact_quantile
 
@@ -132,36 +133,41 @@ class IsolationForest:
     threshold: float = float("inf")
 
     def _arrays(self):
+        """Per tree: feature, split, both sides and length of the nodes, and the number of levels; a leaf leads to itself."""
         table = pd.DataFrame(self.nodes, columns=["tree", "node", "feature", "split", "left_node", "right_node", "length"])
-        return [
-            tuple(t.sort_values("node")[c].to_numpy() for c in ("feature", "split", "left_node", "right_node", "length"))
-            for _, t in table.groupby("tree")
-        ]
+        out = []
+        for _, t in table.groupby("tree"):
+            t = t.sort_values("node")
+            feature, own, leaf = t["feature"].to_numpy(), np.arange(len(t)), t["feature"].to_numpy() < 0
+            # a value that is not at most the split goes right, to the first of both sides
+            sides = np.stack([np.where(leaf, own, t["right_node"]), np.where(leaf, own, t["left_node"])], axis=1).ravel()
+            level, levels = own[:1], 0
+            while (level := level[~leaf[level]]).size:
+                level, levels = np.concatenate([sides[2 * level], sides[2 * level + 1]]), levels + 1
+            out.append((np.maximum(feature, 0).astype(np.int64), t["split"].to_numpy(), sides.astype(np.int64), t["length"].to_numpy(), levels))
+        return out
 
     def score(self, df: DataFrame, features: str, out: str = "isolation_forest_score") -> DataFrame:
         forest = df.sparkSession.sparkContext.broadcast(self._arrays())
         norm = _mean_path(self.sample) or 1.0
 
-        @F.pandas_udf("double")
-        def path_score(values: pd.Series) -> pd.Series:
-            if len(values) == 0:
-                return pd.Series([], dtype="float64")
-            x = np.stack(values.to_numpy())
-            at_row = np.arange(len(x))
-            total = np.zeros(len(x))
-            for feature, split, left, right, length in forest.value:
-                at = np.zeros(len(x), dtype=np.int64)
-                while True:
-                    f = feature[at]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    goes_left = x[at_row, np.maximum(f, 0)] <= split[at]
-                    at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
-                total += length[at]
-            return pd.Series(2.0 ** (-(total / len(forest.value)) / norm))
-
-        return df.withColumn(out, path_score(vector_to_array(features)))
+        @F.arrow_udf(DoubleType())
+        def path_score(values: pa.Array) -> pa.Array:
+            valid = values.is_valid().to_numpy(zero_copy_only=False)
+            flat, n = values.flatten().to_numpy(zero_copy_only=False), int(valid.sum())
+            first = np.arange(n) * (len(flat) // max(n, 1))
+            total = np.zeros(n)
+            for feature, split, sides, length, levels in forest.value:
+                at = np.zeros(n, dtype=np.int64)
+                for _ in range(levels):
+                    left = flat.take(feature.take(at) + first) <= split.take(at)
+                    at = sides.take(2 * at + left)
+                total += length.take(at)
+            found = np.zeros(len(values))
+            found[valid] = 2.0 ** (-(total / len(forest.value)) / norm)
+            return pa.array(found, mask=~valid)
+
+        return df.withColumn(out, path_score(F.when(F.col(features).isNotNull(), vector_to_array(features))))
 
     def predict(self, df: DataFrame, features: str) -> DataFrame:
         return self.flag(self.score(df, features))
