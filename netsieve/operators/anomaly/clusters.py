@@ -105,11 +105,10 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def _cluster_sums(centres: dict[int, np.ndarray]):
     def part(x):
+        summed = np.concatenate([np.ones((len(x), 1)), (x * x).sum(axis=1)[:, None], x], axis=1)
         for k, c in centres.items():
             own = _squares(x, c).argmin(axis=1)
-            out = np.zeros((k, x.shape[1] + 2))
-            np.add.at(out, own, np.concatenate([np.ones((len(x), 1)), (x * x).sum(axis=1)[:, None], x], axis=1))
-            yield k, out.ravel()
+            yield k, ((own == np.arange(k)[:, None]).astype(float) @ summed).ravel()
 
     return part
 
