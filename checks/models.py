@@ -274,12 +274,11 @@ def l17_best(spark, sf):
 
 
 def _scaled(df):
-    """The scaled rows, persisted; the features are found once."""
-    df = df.persist()
-    scaled = encode.fit_population_scaler(df).transform(df).drop("features", "_scaled").persist()
-    scaled.count()
-    df.unpersist()
-    return scaled
+    """The scaled rows, persisted; the scaler reads features that are found once."""
+    rows = df.select("features").persist()
+    scaler = encode.fit_population_scaler(rows)
+    rows.unpersist()
+    return scaler.transform(df).drop("features", "_scaled").persist()
 
 
 def scaled_flows(spark, sf):
