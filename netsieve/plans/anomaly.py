@@ -81,10 +81,15 @@ def fit_record_detector(df: DataFrame, kind: str, ts: str = "ts", **settings) ->
 
 def fit_detector(df: DataFrame, contamination: float = 0.05, models=ALL_MODELS, seed: int = 42) -> Detector:
     """Fit the named models on a table with a ``features`` vector."""
-    scaler = encode.fit_population_scaler(df)
+    # the scaler and the scaled rows read the features several times: find them once
+    rows = df if df.is_cached else df.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    scaler = encode.fit_population_scaler(rows)
     out = Detector(contamination, scaler)
-    scaled = out.scale(df).select("scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = out.scale(rows).select("scaled").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        scaled.count()
+        if rows is not df:
+            rows.unpersist()
         if "isolation_forest" in models:
             out.models["isolation_forest"] = iforest.fit_isolation_forest(scaled, "scaled", contamination, seed=seed)
         if "one_class_svm" in models:
