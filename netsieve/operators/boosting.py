@@ -113,19 +113,25 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
 
 def _nodes(matrix, split, limit, levels: int) -> np.ndarray:
     """Node of each row after ``levels`` levels in each tree, as in a heap."""
-    node = np.zeros((len(matrix), len(split)), dtype=np.int64)
-    trees, rows = np.arange(len(split))[None, :], np.arange(len(matrix))[:, None]
+    trees, inner = split.shape
+    # a node without a split sends all rows to the left
+    feature = np.maximum(split, 0).ravel()
+    bound = np.where(split >= 0, limit, np.iinfo(np.int64).max).ravel()
+    node = np.zeros((len(matrix), trees), dtype=np.int64)
+    flat, first, tree = matrix.ravel(), np.arange(len(matrix))[:, None] * matrix.shape[1], np.arange(trees) * inner
     for _ in range(levels):
-        feature = split[trees, node]
-        right = (feature >= 0) & (matrix[rows, np.maximum(feature, 0)] > limit[trees, node])
-        node = 2 * node + 1 + right
+        at = node + tree
+        right = flat.take(feature.take(at) + first) > bound.take(at)
+        node *= 2
+        node += 1
+        node += right
     return node
 
 
 def _leaf_values(matrix, split, limit, value) -> np.ndarray:
     inner = split.shape[1]
     leaf = _nodes(matrix, split, limit, (inner + 1).bit_length() - 1) - inner
-    return value[np.arange(len(value))[None, :], leaf]
+    return value.ravel().take(leaf + np.arange(len(value)) * value.shape[1])
 
 
 class HistogramBoosting:
@@ -198,16 +204,17 @@ class HistogramBoosting:
                 p = _softmax(block.scores(prior, *trees, done=len(trees[2])).reshape(-1, jobs, classes))
                 wrong = (np.arange(classes) == block.target[:, None])[:, None, :] - p
                 inside = (np.arange(jobs) != block.fold[:, None] + 1)[:, :, None]
-                both = np.stack([wrong * inside, p * (1 - p) * inside]).reshape(2, len(p), -1)
-                node = _nodes(block.matrix, trees[0][-1], trees[1][-1], level) - first
+                # by tree, so that the rows of one lie side by side
+                both = np.stack([wrong * inside, p * (1 - p) * inside]).reshape(2, len(p), -1).transpose(0, 2, 1).copy()
+                node = (_nodes(block.matrix, trees[0][-1], trees[1][-1], level) - first).T * (total + 1)
                 if out is None:
                     out = np.zeros((jobs * classes, 2, width, total + 1))
                 for t in range(jobs * classes):
-                    at = node[block.row, t] * (total + 1) + block.cell
-                    every = node[:, t] * (total + 1) + total
+                    at = node[t].take(block.row) + block.cell
+                    every = node[t] + total
                     for k in (0, 1):
-                        flat = np.bincount(at, weights=both[k, block.row, t], minlength=width * (total + 1))
-                        flat += np.bincount(every, weights=both[k, :, t], minlength=width * (total + 1))
+                        flat = np.bincount(at, weights=both[k, t].take(block.row), minlength=width * (total + 1))
+                        flat += np.bincount(every, weights=both[k, t], minlength=width * (total + 1))
                         out[t, k] += flat.reshape(width, -1)
             if out is not None:
                 blobs = [x.tobytes() for x in out]

@@ -267,3 +267,26 @@ def test_forest_scores_once_for_threshold_and_flags(spark):
     again = iforest.fit_isolation_forest(df, "features", 0.05, trees=30)
     assert model.threshold == again.threshold
     assert sorted(flagged.select("id", "isolation_forest_anomaly").collect()) == sorted(again.predict(df, "features").select("id", "isolation_forest_anomaly").collect())
+
+
+def test_cluster_sums_are_products():
+    rng = np.random.default_rng(2)
+    x, c = rng.normal(size=(20_000, 70)), rng.normal(size=(9, 70))
+    own = ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+    sums = dict(clusters._cluster_sums({9: c})(x))[9].reshape(9, -1)
+    assert np.allclose(sums[:, 0], np.bincount(own, minlength=9))
+    assert np.allclose(sums[:, 2:], [x[own == k].sum(axis=0) for k in range(9)])
+    assert np.allclose(sums[:, 1], [(x[own == k] ** 2).sum() for k in range(9)])
+
+
+def test_nodes_without_a_split_send_all_rows_to_the_left():
+    rng = np.random.default_rng(4)
+    matrix, trees = rng.integers(0, 32, (5000, 80)).astype(np.int32), 40
+    split, limit, value = rng.integers(-1, 80, (trees, 7)), rng.integers(0, 31, (trees, 7)), rng.normal(size=(trees, 8))
+    got = boosting._leaf_values(matrix, split, limit, value)
+    for i in range(0, 5000, 271):
+        for t in range(trees):
+            node = 0
+            for _ in range(3):
+                node = 2 * node + 1 + int(split[t, node] >= 0 and matrix[i, split[t, node]] > limit[t, node])
+            assert got[i, t] == value[t, node - 7]
