@@ -18,6 +18,7 @@ SHARE = 0.5  # an n-gram belongs to a language if it is at least this often as i
 LOAD = 16  # slots for each n-gram of the language with the most, at least
 FEWEST = 1 << 16  # slots of the smallest filter
 PROBES = 4
+SLICE = 1 << 17  # bytes of texts at once: an n-gram takes some 70 bytes while it is looked up
 
 # Bytes of words: letters in lower case and everything beyond ASCII.
 _LETTER = np.zeros(256, dtype=bool)
@@ -79,7 +80,7 @@ class LanguageModel:
     def _count(self, column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of the best language, its score and the number of n-grams of each text."""
         best, score, grams_of = (np.zeros(len(column), dtype=t) for t in (np.int64, np.float64, np.int64))
-        for row, data, offsets in words.slices(pc.utf8_lower(column)):
+        for row, data, offsets in words.slices(pc.utf8_lower(column), SLICE):
             n = len(offsets) - 1
             counts, total = np.zeros((n, len(self.languages))), np.zeros(n)
             for texts, grams in _grams(data, offsets):
@@ -157,7 +158,7 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     def count(batches):
         for batch in batches:
             codes = batch.column(1).to_numpy().astype(np.int64)
-            for row, data, offsets in words.slices(pc.utf8_lower(batch.column(0))):
+            for row, data, offsets in words.slices(pc.utf8_lower(batch.column(0)), SLICE):
                 for texts, grams in _grams(data, offsets):
                     own = codes[row + texts]
                     for k in np.unique(own):

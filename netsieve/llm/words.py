@@ -55,8 +55,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def slices(column) -> iter:
-    """``(first row, bytes, offsets)`` of slices of whole texts; nulls are empty."""
+def slices(column, size: int = SLICE_BYTES) -> iter:
+    """``(first row, bytes, offsets)`` of slices of whole texts of about ``size`` bytes; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -66,7 +66,7 @@ def slices(column) -> iter:
     data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
     row = 0
     while row < len(column):
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         end = min(max(end, row + 1), len(column))
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end

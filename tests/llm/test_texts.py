@@ -391,3 +391,22 @@ def test_decontamination_stage_drops_documents_with_passages(spark, tmp_path):
     texts = {1: "clean text", 2: f"so {passage.upper()} end", 3: None, 4: "alpha beta gamma delta epsilon zeta eta theta iota"}
     got = corpus_pipeline.decontamination(spark, table(spark, list(texts.items())), str(tmp_path))
     assert sorted(r.doc_id for r in got.collect()) == [1, 3, 4]
+
+
+def test_languages_are_counted_in_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from netsieve.llm import language
+
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.choice([*range(97, 123), 32], 4000))) for _ in range(500)]
+    model = language.LanguageModel.build(["a", "b"], rng.integers(0, 1 << 63, 5000).astype(np.uint64), rng.integers(0, 2, 5000))
+    tracemalloc.start()
+    whole = model.predict(pa.array(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6
+    single = [model.predict(pa.array([t])) for t in texts[:20]]
+    assert [s[0][0] for s in single] == whole[0][:20] and [s[1][0] for s in single] == whole[1][:20].tolist()
