@@ -16,6 +16,7 @@ from netsieve.operators import classify, encode, metrics, profile, sequence
 from netsieve.operators.anomaly import clusters, components, density, iforest, ocsvm, thresholds
 from netsieve.operators.vectorise import RecordVectorizerModel
 from netsieve.plans import anomaly, classify as plans
+from netsieve.plans.clean import clean
 from netsieve.session import ensure_checkpoint_dir
 from netsieve.sources import derived, model_store, readers, writers
 from netsieve.streaming import cleaning, monitor
@@ -41,15 +42,19 @@ def scratch(spark):
 # --- L: supervised models ---------------------------------------------------------
 
 
-def classifier_rows(spark, sf, exclude_rule_flags=False):
-    # fitting reads the records several times: clean them once
-    rows = derived.spread(cleaned(spark, sf)).persist()
-    return plans.classifier_vectors(rows, ["line_no", "event_category"], exclude_rule_flags).persist()
+def cleaned_once(spark, sf):
+    """Cleaned records, persisted. The lines are dealt out first, as one file may be a single part of a scan."""
+    rows = clean(derived.spread(lines(spark, sf)), OPTIONS).withColumnRenamed("line_seq", "line_no")
+    return derived.spread(rows).persist()
 
 
-def _train(spark, sf, names, folds=1, **settings):
+def classifier_rows(records, exclude_rule_flags=False):
+    return plans.classifier_vectors(records, ["line_no", "event_category"], exclude_rule_flags).persist()
+
+
+def _train(records, names, folds=1, **settings):
     chosen = classify.estimators(**settings)
-    rows = classifier_rows(spark, sf)
+    rows = classifier_rows(records)
     fitted, _ = classify.train_and_compare(rows, "event_category", ["line_no"], {n: chosen[n] for n in names}, folds)
     return fitted, classify.feature_names(rows)
 
@@ -57,7 +62,7 @@ def _train(spark, sf, names, folds=1, **settings):
 def _model_check(key, name, **settings):
     @check(key)
     def run(spark, sf):
-        fitted, _ = _train(spark, sf, [name], **settings)
+        fitted, _ = _train(cleaned_once(spark, sf), [name], **settings)
         return classify.comparison(spark, fitted)
 
 
@@ -70,7 +75,7 @@ _model_check("l5_naive_bayes", "Naive Bayes")
 
 @check("l6_l7_cross_validated_comparison")
 def l6(spark, sf):
-    fitted, _ = _train(spark, sf, list(classify.estimators()), folds=3)
+    fitted, _ = _train(cleaned_once(spark, sf), list(classify.estimators()), folds=3)
     return classify.comparison(spark, fitted)
 
 
@@ -161,7 +166,7 @@ def l9(spark, sf):
 
 @check("l10_feature_importance")
 def l10(spark, sf):
-    rows = classifier_rows(spark, sf, exclude_rule_flags=True)
+    rows = classifier_rows(cleaned_once(spark, sf), exclude_rule_flags=True)
     indexed, _ = classify.index_target(rows, "event_category")
     model = classify.estimators()["Random Forest"].fit(indexed)
     return classify.importances(spark, model, classify.feature_names(rows))
@@ -181,15 +186,14 @@ def l11(spark, sf):
     return scored.drop("features")
 
 
-def _event_vectors(spark, sf):
-    rows = plans.event_columns(derived.spread(events(spark, sf)))
-    wide = plans.fit_event_vectors(events(spark, sf)).transform(rows)
-    return wide.select("event_id", "ts", "event_type", "source_ip", "is_anomaly", "features").persist(), classify.feature_names(wide, "raw_features")
-
-
 def _dense(spark, sf, iterations=30):
-    vectors, names = _event_vectors(spark, sf)
-    rows = encode.stratified_split(vectors, "is_anomaly", ["event_id"]).persist()
+    # the narrow events are kept; vectors are made when the network packs its rows and when it scores
+    rows = derived.spread(events(spark, sf)).persist()
+    vectors = plans.fit_event_vectors(rows)
+    split = encode.stratified_split(rows, "is_anomaly", ["event_id"])
+    wide = vectors.transform(plans.event_columns(split))
+    names = classify.feature_names(wide, "raw_features")
+    rows = wide.select("event_id", "ts", "event_type", "source_ip", "is_anomaly", "features", "is_test")
     model = classify.fit_dense(rows.where(~F.col("is_test")), "is_anomaly", iterations=iterations)
     return model, rows, names
 
@@ -197,7 +201,7 @@ def _dense(spark, sf, iterations=30):
 @check("l12_l14_dense_network")
 def l12(spark, sf):
     model, rows, _ = _dense(spark, sf)
-    scored = classify.score_dense(rows.where("is_test"), model)
+    scored = classify.score_dense(rows.where("is_test"), model).select("is_anomaly", "predicted_anomaly", "anomaly_score").persist()
     acc = metrics.accuracy(scored, "is_anomaly", "predicted_anomaly").first()[0]
     area = metrics.auc(scored, "is_anomaly", "anomaly_score").first()[0]
     return spark.createDataFrame(
@@ -616,13 +620,14 @@ def a6(spark, sf):
 
 @check("a13_classification_results")
 def a13(spark, sf):
-    fitted, names = _train(spark, sf, list(classify.estimators()), folds=3)
+    records = cleaned_once(spark, sf)
+    fitted, names = _train(records, list(classify.estimators()), folds=3)
     path = f"{scratch(spark)}/results"
     writers.write_metrics_json(
         {
             "model_performance": classify.comparison(spark, fitted),
             "feature_importance": classify.all_importances(spark, fitted, names),
-            "data_insights": profile.class_distribution(cleaned(spark, sf), "event_category"),
+            "data_insights": profile.class_distribution(records, "event_category"),
         },
         path,
     )
