@@ -10,7 +10,6 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from netsieve.operators import metrics
 from netsieve.operators.boosting import HistogramBoosting
 from netsieve.operators.kernel import KernelSVM
+from netsieve.operators.network import DenseNetwork
 from netsieve.operators.encode import stratified_folds, stratified_split
 
 MODEL_SCHEMA = "model string, accuracy double, cv_mean double, cv_std double"
@@ -187,11 +187,7 @@ def score_text(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
 
 def fit_dense(df: DataFrame, label: str, features: str = "features", iterations: int = 100, seed: int = 42):
     """Two-class dense network with hidden layers of 128, 64 and 32 units."""
-    width = len(df.select(features).first()[0])
-    net = MultilayerPerceptronClassifier(
-        layers=[width, 128, 64, 32, 2], featuresCol=features, labelCol=label, maxIter=iterations, seed=seed
-    )
-    return net.fit(df)
+    return DenseNetwork([128, 64, 32], iterations=iterations, features=features, label=label, seed=seed).fit(df)
 
 
 def score_dense(df: DataFrame, model, threshold: float = 0.5) -> DataFrame:
