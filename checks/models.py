@@ -176,11 +176,8 @@ def l10(spark, sf):
 def l11(spark, sf):
     rows = plans.mining_columns(derived.spread(logs(spark, sf))).persist()
     vectors = plans.fit_mining_vectors(rows)
-    train = vectors.transform(rows).select("category", "level", "features")
-    models = {
-        "category": classify.fit_text_classifier(train, "category", "category", depth=20),
-        "severity": classify.fit_text_classifier(train, "level", "severity", depth=15),
-    }
+    train = vectors.transform(rows).select("category", "level", "features").persist()
+    models = classify.fit_text_classifiers(train, {"category": ("category", 20), "severity": ("level", 15)})
     new = plans.new_text_columns(logs(spark, sf).select("message").distinct())
     scored = classify.score_text(vectors.transform(new).select("message", "features"), models)
     return scored.drop("features")

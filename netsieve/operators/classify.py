@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from netsieve.operators import metrics
 from netsieve.operators.boosting import HistogramBoosting
+from netsieve.operators.forest import SparseForest
 from netsieve.operators.kernel import KernelSVM
 from netsieve.operators.network import DenseNetwork
 from netsieve.operators.encode import stratified_folds, stratified_split
@@ -164,14 +165,24 @@ def all_importances(spark, fitted: list[Fitted], names: list[str]) -> DataFrame:
 def fit_text_classifier(df: DataFrame, label: str, prefix: str, depth: int, trees: int = 100, seed: int = 42) -> PipelineModel:
     """Forest over ``features`` that adds the predicted label and the class probabilities."""
     index = StringIndexer(inputCol=label, outputCol=f"{prefix}_target", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
-    forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol=f"{prefix}_target",
-        predictionCol=f"{prefix}_code", probabilityCol=f"{prefix}_probability", rawPredictionCol=f"{prefix}_raw",
+    forest = SparseForest(
+        classes=len(index.labels) + 1, trees=trees, depth=depth, seed=seed, features="features", label=f"{prefix}_target",
+        prediction=f"{prefix}_code", probability=f"{prefix}_probability", raw=f"{prefix}_raw",
     ).fit(index.transform(df))
     back = IndexToString(inputCol=f"{prefix}_code", outputCol=f"predicted_{prefix}", labels=index.labels + ["unknown"])
     return PipelineModel([forest, back])
 
 
+def fit_text_classifiers(df: DataFrame, wanted: dict[str, tuple[str, int]], trees: int = 100, seed: int = 42) -> dict[str, PipelineModel]:
+    """A text classifier for each name with its label and depth; the fits share the cluster. ``df`` is stored or persisted."""
+    with ThreadPoolExecutor(max(len(wanted), 1)) as pool:
+        waiting = {
+            name: pool.submit(inheritable_thread_target(lambda n=name, c=label, d=depth: fit_text_classifier(df, c, n, d, trees, seed)))
+            for name, (label, depth) in wanted.items()
+        }
+        return {name: found.result() for name, found in waiting.items()}
+
+
 def score_text(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
     """``predicted_<name>`` and ``<name>_confidence`` for every model."""
     keep = list(df.columns)
