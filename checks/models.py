@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -274,18 +275,19 @@ def l17_best(spark, sf):
 # --- M: detectors -------------------------------------------------------------------
 
 
-def _scaled(df):
+def _scaled(df, level=StorageLevel.MEMORY_AND_DISK_DESER):
     """The scaled rows, persisted; the scaler reads features that are found once."""
-    rows = df.select("features").persist()
+    rows = df.select("features").persist(level)
     scaler = encode.fit_population_scaler(rows)
     rows.unpersist()
-    return scaler.transform(df).drop("features", "_scaled").persist()
+    return scaler.transform(df).drop("features", "_scaled").persist(level)
 
 
 def scaled_flows(spark, sf):
     df = flows(spark, sf)
     model = anomaly.fit_vectorizer(df, "flow")
-    return _scaled(anomaly.flow_vectors(derived.spread(df), ["flow_id", "true_label"], model=model)[0])
+    # there are many flows and few passes over them: their vectors stay out of the executors' memory
+    return _scaled(anomaly.flow_vectors(derived.spread(df), ["flow_id", "true_label"], model=model)[0], StorageLevel.DISK_ONLY)
 
 
 def scaled_logs(spark, sf):
@@ -300,7 +302,7 @@ def _flag_counts(df, name):
 @check("m1_isolation_forest")
 def m1(spark, sf):
     df = scaled_flows(spark, sf)
-    return _flag_counts(iforest.fit_predict(df, "scaled")[1], "isolation_forest")
+    return _flag_counts(iforest.fit_predict(df, "scaled", keep=["flow_id", "true_label"])[1], "isolation_forest")
 
 
 @check("m2_one_class_svm")

@@ -198,14 +198,19 @@ def fit_isolation_forest(
 
 
 def fit_predict(
-    df: DataFrame, features: str, contamination: float = 0.05, trees: int = 100, sample: int = 256, seed: int = 42
+    df: DataFrame, features: str, contamination: float = 0.05, trees: int = 100, sample: int = 256, seed: int = 42,
+    keep: list[str] | None = None,
 ) -> tuple[IsolationForest, DataFrame]:
     """The forest and ``df`` with its scores and flags; rows are scored once, for threshold and flags.
 
-    The scored rows stay persisted; ``unpersist`` them when they are no longer read.
+    The scored rows stay persisted on disk, with the columns ``keep`` of ``df`` (all, if not given);
+    ``unpersist`` them when they are no longer read.
     """
     model = _fit_trees(df, features, trees, sample, seed)
-    scored = model.score(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = model.score(df, features)
+    if keep is not None:
+        scored = scored.select(*keep, "isolation_forest_score")
+    scored = scored.persist(StorageLevel.DISK_ONLY)
     model.threshold = exact_quantile(scored, "isolation_forest_score", 1 - contamination)
     return model, model.flag(scored)
 

@@ -87,7 +87,7 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
     """
     rows = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
     # one narrow column, read a few times: spills to disk rather than run its source again
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         total = rows.count()
         if total == 0:

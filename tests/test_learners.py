@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -269,6 +270,24 @@ def test_forest_scores_once_for_threshold_and_flags(spark):
     assert sorted(flagged.select("id", "isolation_forest_anomaly").collect()) == sorted(again.predict(df, "features").select("id", "isolation_forest_anomaly").collect())
 
 
+def levels(spark, monkeypatch):
+    """Storage levels that tables are persisted with from now on, in order."""
+    frame = type(spark.range(0))
+    found, persist = [], frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, level=StorageLevel.MEMORY_AND_DISK_DESER: (found.append(level), persist(self, level))[1])
+    return found
+
+
+def test_forest_keeps_vectors_and_blocks_of_bytes_out_of_memory(spark, monkeypatch):
+    df = planted(spark, 2, 300).select("id", "features")
+    model, flagged = iforest.fit_predict(df, "features", 0.05, trees=30)
+    found = levels(spark, monkeypatch)
+    again, narrow = iforest.fit_predict(df, "features", 0.05, trees=30, keep=["id"])
+    assert found == [StorageLevel.DISK_ONLY, StorageLevel.MEMORY_AND_DISK_DESER]
+    assert narrow.columns == ["id", "isolation_forest_score", "isolation_forest_anomaly"] and again.threshold == model.threshold
+    assert sorted(narrow.collect()) == sorted(flagged.select(narrow.columns).collect())
+
+
 def test_cluster_sums_are_products():
     rng = np.random.default_rng(2)
     x, c = rng.normal(size=(20_000, 70)), rng.normal(size=(9, 70))
