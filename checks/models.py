@@ -308,7 +308,7 @@ def m1(spark, sf):
 @check("m2_one_class_svm")
 def m2(spark, sf):
     df = scaled_flows(spark, sf)
-    return _flag_counts(ocsvm.fit_predict(df, "scaled")[1], "one_class_svm")
+    return _flag_counts(ocsvm.fit_predict(df, "scaled", keep=["flow_id", "true_label"])[1], "one_class_svm")
 
 
 @check("m3_density_noise")

@@ -185,14 +185,18 @@ def fit_one_class_svm(
 
 def fit_predict(
     df: DataFrame, features: str, nu: float = 0.05, gamma: float | None = None, width: int = 200,
-    tolerance: float = 0.01, seed: int = 42,
+    tolerance: float = 0.01, seed: int = 42, keep: list[str] | None = None,
 ) -> tuple[OneClassSVM, DataFrame]:
     """The machine and ``df`` with its scores and flags; rows are scored once, for threshold and flags.
 
-    The scored rows stay persisted; ``unpersist`` them when they are no longer read.
+    The scored rows stay persisted on disk, with the columns ``keep`` of ``df`` (all, if not given);
+    ``unpersist`` them when they are no longer read.
     """
     model = _fit_weights(df, features, nu, gamma, width, tolerance, seed)
-    scored = model.score(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = model.score(df, features)
+    if keep is not None:
+        scored = scored.select(*keep, "one_class_svm_score")
+    scored = scored.persist(StorageLevel.DISK_ONLY)
     model.rho = _edge(scored, nu)
     return model, model.flag(scored)
 
@@ -203,7 +207,7 @@ def _edge(scored: DataFrame, nu: float) -> float:
 
 def _fit_weights(df, features, nu, gamma, width, tolerance, seed) -> OneClassSVM:
     d = len(df.select(features).first()[0])
-    packed = _packed(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = _packed(df, features).persist(StorageLevel.DISK_ONLY)
     try:
         return _solve(packed, d, nu, _gamma(packed, d) if gamma is None else gamma, width, tolerance, seed)
     finally:

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -355,6 +356,19 @@ def test_one_class_scores_once_for_threshold_and_flags(spark):
     assert sorted(r.id for r in flagged.where("one_class_svm_anomaly = 1").collect()) == sorted(r.id for r in again.predict(df, "v").where("one_class_svm_anomaly = 1").collect())
 
 
+def test_one_class_machine_keeps_vectors_and_blocks_of_bytes_out_of_memory(spark, monkeypatch):
+    x, _ = planted(np.random.default_rng(7), n=600, bad=12)
+    df, frame, levels = vectors(spark, x), type(spark.range(0)), []
+    model, flagged = ocsvm.fit_predict(df, "v")
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, level=StorageLevel.MEMORY_AND_DISK_DESER: (levels.append(level), persist(self, level))[1])
+    again, narrow = ocsvm.fit_predict(df, "v", keep=["id"])
+    # packed rows, scored rows, and the narrow column of the quantile
+    assert levels == [StorageLevel.DISK_ONLY, StorageLevel.DISK_ONLY, StorageLevel.MEMORY_AND_DISK_DESER]
+    assert narrow.columns == ["id", "one_class_svm_score", "one_class_svm_anomaly"] and again.rho == pytest.approx(model.rho, rel=1e-6)
+    assert sorted(narrow.select("id", "one_class_svm_anomaly").collect()) == sorted(flagged.select("id", "one_class_svm_anomaly").collect())
+
+
 def test_forest_paths_and_rows_without_a_vector(spark):
     x, _ = planted(np.random.default_rng(5), n=400, bad=8)
     df = vectors(spark, x)
