@@ -81,11 +81,11 @@ def fit_record_detector(df: DataFrame, kind: str, ts: str = "ts", **settings) ->
 
 def fit_detector(df: DataFrame, contamination: float = 0.05, models=ALL_MODELS, seed: int = 42) -> Detector:
     """Fit the named models on a table with a ``features`` vector."""
-    # the scaler and the scaled rows read the features several times: find them once
-    rows = df if df.is_cached else df.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    # the scaler and the scaled rows read the features several times: find them once, on disk, as vectors would fill the memory
+    rows = df if df.is_cached else df.select("features").persist(StorageLevel.DISK_ONLY)
     scaler = encode.fit_population_scaler(rows)
     out = Detector(contamination, scaler)
-    scaled = out.scale(rows).select("scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = out.scale(rows).select("scaled").persist(StorageLevel.DISK_ONLY)
     try:
         scaled.count()
         if rows is not df:

@@ -389,6 +389,24 @@ def test_forest_paths_and_rows_without_a_vector(spark):
     assert np.allclose([r["isolation_forest_score"] for r in got[1:]], want)
 
 
+def test_detectors_keep_vectors_out_of_memory(spark, monkeypatch):
+    from netsieve.plans import anomaly
+
+    x, _ = planted(np.random.default_rng(5), n=300, bad=8)
+    df, frame, levels = vectors(spark, x).withColumnRenamed("v", "features"), type(spark.range(0)), {}
+
+    def kept(self, level=StorageLevel.MEMORY_AND_DISK_DESER, persist=frame.persist):
+        levels.setdefault(tuple(self.columns), []).append(level)
+        return persist(self, level)
+
+    monkeypatch.setattr(frame, "persist", kept)
+    anomaly.fit_detector(df)
+    # what a quantile reads is a single column; all else holds vectors
+    assert all(level == StorageLevel.MEMORY_AND_DISK_DESER for level in levels.pop(("v",)))
+    assert ("features",) in levels and ("scaled",) in levels
+    assert all(level == StorageLevel.DISK_ONLY for found in levels.values() for level in found)
+
+
 def test_detectors_find_the_features_once(spark):
     from netsieve.plans import anomaly
 
