@@ -381,7 +381,7 @@ def m11(spark, sf):
 @check("a9_anomaly_results")
 def a9(spark, sf):
     df, _ = anomaly.log_vectors(derived.spread(logs(spark, sf)), ["event_id", "level", "true_label"])
-    df = df.persist()
+    df = df.persist(StorageLevel.DISK_ONLY)
     detector = anomaly.fit_detector(df)
     return writers.anomaly_results(detector.detect(df), detector.names)
 
